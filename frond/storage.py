@@ -14,6 +14,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from frond.session import ship
+
 _LEFTOVER: dict[str, SparkSession] = {}
 _LOCAL: list[str] = []
 
@@ -70,6 +72,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession):
+        ship(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/frond-{uuid.uuid4().hex}"
         self._paths: dict[int, str] = {}
