@@ -11,6 +11,8 @@ begin beyond the level the k-th row can reach are dropped before they are sorted
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Ranges of the hash that each cell is cut into. A cell of n rows means tasks of n / BUCKETS.
@@ -34,15 +36,13 @@ select long_side, short_side, coverage_band, count(*) as n from ({usable}) group
 """
 
 FOUND = """
-select long_side, short_side, coverage_band from (
-  select *, sum(n) over (partition by 1) as total from (
-    select long_side, short_side, coverage_band, n from ({cells}))
-)
-where n >= 0.02 * total
+with cells as ({cells})
+select long_side, short_side, coverage_band from cells where n >= 0.02 * (select sum(n) from cells)
 """
 
 #: The smallest level at which cells cut down to it hold k rows (or all rows).
-#: With cells ordered by size, those of fewer rows than the level count whole.
+#: With cells ordered by size, those of fewer rows than the level count whole. The windows run over
+#: the different sizes of cells, of which n rows can have no more than the square root of 2 n.
 LEVEL = """
 select coalesce(min(level), (select max(n) from ({cells}))) as level from (
   select n, ceil(({k} - (upto - rows_n)) / double(above)) as level, lag(n, 1, 0) over (partition by 1 order by n) as lower_n
@@ -83,20 +83,22 @@ limit {k}
 """
 
 
-def _view(df: DataFrame, name: str) -> str:
+def _view(df: DataFrame) -> str:
+    """A temporary view under a name of its own, so calls do not disturb each other."""
+    name = f"frond_audits_{uuid.uuid4().hex}"
     df.createOrReplaceTempView(name)
     return name
 
 
 def cell_counts(audits: DataFrame) -> DataFrame:
     """(long_side, short_side, coverage_band, n) over distinct usable audit_ids."""
-    v = _view(audits, "frond_audits")
+    v = _view(audits)
     return audits.sparkSession.sql(CELLS.format(usable=USABLE.format(audits=v)))
 
 
 def crowded_cells(audits: DataFrame) -> DataFrame:
     """The cells that hold at least 2 % of the usable audit_ids: where similar records pile up."""
-    v = _view(audits, "frond_audits")
+    v = _view(audits)
     return audits.sparkSession.sql(FOUND.format(cells=CELLS.format(usable=USABLE.format(audits=v))))
 
 
@@ -108,7 +110,7 @@ def varied_subset(audits: DataFrame, k: int, seed: int = 7, buckets: int = BUCKE
     equal hashes repeatable. The level is a single number; no rows come to the driver.
     """
     spark: SparkSession = audits.sparkSession
-    v = _view(audits, "frond_audits")
+    v = _view(audits)
     usable = USABLE.format(audits=v)
     cells = CELLS.format(usable=usable)
     level = spark.sql(LEVEL.format(cells=cells, k=max(0, int(k)))).first()[0]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 _TAG = re.compile(r"</?[^\W\d_][^<>]*>")
-_SOFT = re.compile("[­​]+")
+_SOFT = re.compile("[\u00ad\u200b]+")
 _BROKEN = re.compile(r"-(?:\r\n|\n)")
 _WORD = re.compile(r"[^\W_]+")
 
@@ -20,7 +20,7 @@ def words(text: str | None) -> list[str]:
         return []
     if "<" in text:
         text = _TAG.sub("", text)
-    if "­" in text or "​" in text:
+    if "\u00ad" in text or "\u200b" in text:
         text = _SOFT.sub("", text)
     if "-" in text:
         text = _BROKEN.sub("", text)
