@@ -85,7 +85,8 @@ def current_label_files(files: DataFrame) -> DataFrame:
     )
     ids = best.select((-F.col("b.m")).alias("_keep"))
     nameless = file_key(F.col("label_path")).isNull() | F.col("file_id").isNull()
-    named = files.where(~nameless).join(ids, F.col("file_id") == F.col("_keep"), "left_semi")
+    rest = files.where(~nameless)
+    named = rest.join(ids, rest["file_id"] == ids["_keep"], "left_semi")
     return named.unionByName(files.where(nameless))
 
 
