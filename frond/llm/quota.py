@@ -46,7 +46,7 @@ def moments(units: DataFrame, wanted: DataFrame) -> DataFrame:
     return wanted.join(supply, "key", "left").withColumn("supply", F.coalesce("supply", F.lit(0).cast("bigint")))
 
 
-def newton_tilt(supply: list[int], wanted: list[float], steps: int = 60, tol: float = 1e-10) -> list[float]:
+def newton_tilt(supply: list[int], wanted: list[float], steps: int = 200, tol: float = 1e-10) -> list[float]:
     """Multipliers lam with supply * exp(lam) = wanted, by Newton steps on the dual.
 
     The dual of calibration by exponential tilting, sum of supply * exp(lam) - wanted * lam, has the
