@@ -5,6 +5,8 @@ Every function gives null for a null polygon. None uses a Python worker.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -102,9 +104,6 @@ def self_intersects(p: Column) -> Column:
 
 def polygon_crosses():
     """ARR-03 as an Arrow-batched function of two arrays (xs, ys), edge against edge in numpy."""
-    import numpy as np
-    import pandas as pd
-
     def crossing(xs, ys) -> bool:
         n = len(xs)
         if n < 4:
@@ -143,9 +142,6 @@ def simplify(tolerance: float):
     Ends stay; a stretch is kept straight while no point is farther than ``tolerance`` from it. An
     explicit stack replaces recursion, so long outlines cannot exhaust it.
     """
-    import numpy as np
-    import pandas as pd
-
     def cut(xs, ys):
         x, y = np.asarray(xs, float), np.asarray(ys, float)
         n = len(x)

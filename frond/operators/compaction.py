@@ -98,36 +98,3 @@ def compact_label_files(spark: SparkSession, files: DataFrame, target: str, file
 def read_compacted(spark: SparkSession, target: str, schema) -> DataFrame:
     """The committed records."""
     return spark.read.schema(schema).parquet(target)
-
-
-def read_tree(spark: SparkSession, root: str, suffix: str = ".txt") -> DataFrame:
-    """A tree of tiny files as rows (path, content, size_bytes, modified_at), empty files included.
-
-    The binary scan passes over files of no length, so they come from a listing: folders are walked
-    on the executors, each task listing one folder of the first two levels, and left-joined.
-    """
-    import os
-    from datetime import datetime, timezone
-
-    base = root.removeprefix("file://")
-
-    def walk(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            for top, deep in zip(pdf["dir"], pdf["deep"]):
-                rows = []
-                for at, _, names in os.walk(top) if deep else [(top, [], [e.name for e in os.scandir(top) if e.is_file()])]:
-                    for name in names:
-                        if name.endswith(suffix):
-                            s = os.stat(p := os.path.join(at, name))
-                            rows.append((p, s.st_size, datetime.fromtimestamp(s.st_mtime, timezone.utc).replace(tzinfo=None)))
-                yield pd.DataFrame(rows, columns=["path", "size_bytes", "modified_at"])
-
-    first = [base] + [e.path for e in os.scandir(base) if e.is_dir()]
-    dirs = [(d, False) for d in first] + [(e.path, True) for d in first[1:] for e in os.scandir(d) if e.is_dir()]
-    listed = spark.createDataFrame(dirs, "dir string, deep boolean").repartition(max(1, min(len(dirs), 1000)))
-    listed = listed.mapInPandas(walk, "path string, size_bytes bigint, modified_at timestamp_ntz")
-    scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").load(root)
-    text = scan.select(F.regexp_replace("path", "^file:/*", "/").alias("path"), F.decode("content", "UTF-8").alias("content"))
-    return listed.join(text, "path", "left").select("path", F.coalesce("content", F.lit("")).alias("content"), "size_bytes", "modified_at")
