@@ -62,9 +62,8 @@ def first_wins(df: DataFrame, key: str, id_col: str, order: list[Column], hot_ro
     differ on it.
     """
     first = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], F.col(id_col).alias("first_id"))).alias("f"), F.count(F.lit(1)).alias("_n"))
-    first = first.select(key, F.col("f.first_id").alias("first_id"), "_n")
-    hot = hot_keys(first, key, "_n", hot_rows) if hot_rows is not None else []
-    got = lookup(df, first.where("_n > 1").drop("_n"), key, hot, "left")
+    first = Scratch(df.sparkSession).write(first.select(key, F.col("f.first_id").alias("first_id"), "_n").where("_n > 1"), "firsts")
+    got = lookup(df, first.drop("_n"), key, hot_keys(first, key, "_n", hot_rows), "left")
     return got.withColumn("first_id", F.coalesce("first_id", id_col))
 
 

@@ -25,14 +25,19 @@ def lookup(big: DataFrame, small: DataFrame, key: str, hot: list, how: str = "in
     """Equi-join of ``big`` with a table of unique keys, the hot keys' rows staying where they are.
 
     Rows of hot keys meet a broadcast of at most 1024 rows; the rest is an ordinary shuffle join.
-    Null keys match nothing and are kept only by a left join.
+    Null keys match nothing; a left join keeps them without sending them all to one task.
     """
-    if not hot:
-        return big.join(small, key, how)
-    is_hot = F.col(key).isin(hot)
-    few = F.broadcast(small.where(is_hot))
-    rest = big.where(~is_hot | F.col(key).isNull()).join(small.where(~is_hot), key, how)
-    return big.where(is_hot).join(few, key, how).unionByName(rest)
+    known = big.where(F.col(key).isNotNull())
+    if hot:
+        is_hot = F.col(key).isin(hot)
+        few = F.broadcast(small.where(is_hot))
+        out = known.where(~is_hot).join(small.where(~is_hot), key, how).unionByName(known.where(is_hot).join(few, key, how))
+    else:
+        out = known.join(small, key, how)
+    if how != "left":
+        return out
+    new = [F.lit(None).cast(f.dataType).alias(f.name) for f in small.schema if f.name != key]
+    return out.unionByName(big.where(F.col(key).isNull()).select("*", *new))
 
 
 def bucketed_rank(df: DataFrame, keys: list[str], order: Column, tie: Column, out: str, buckets: int = 256) -> DataFrame:

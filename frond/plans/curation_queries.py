@@ -10,6 +10,7 @@ from frond.functions import labels as L
 from frond.functions import text as T
 from frond.operators import dedup, pairing, predictions, splits, stats
 from frond.operators import select as sel
+from frond.operators.skew import lookup
 from frond.plans.tables import table
 
 QUERIES: dict = {}
@@ -294,7 +295,7 @@ def q16_name_collisions(spark, d):
 def jn15_disease_or_crop(spark, d):
     m = table(spark, d, "raw_pairs").select(K.digest(F.col("sha256_hash")).alias("digest"), K.name_key(F.col("disease_name")).alias("disease")).where("digest is not null")
     m = m.groupBy("digest").agg(F.min("disease").alias("disease"))
-    return images(spark, d).select("image_id", "digest", "crop").join(m, "digest", "left").select("image_id", F.coalesce("disease", "crop").alias("disease"))
+    return lookup(images(spark, d).select("image_id", "digest", "crop"), m, "digest", [], "left").select("image_id", F.coalesce("disease", "crop").alias("disease"))
 
 
 # ---- distributions and scores -----------------------------------------------------------------
