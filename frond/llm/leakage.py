@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frond.llm.words import words
+from frond.storage import Scratch
 
 WINDOW = 12
-#: Template hashes of item windows that may travel to every task; more go by a shuffle join alone.
-MAX_BROADCAST = 2_000_000
+#: Item windows that may travel to every task, some 150 bytes each; more go by a shuffle join.
+MAX_BROADCAST = 250_000
 
 #: Units of measure and time.
 UNITS = frozenset(
@@ -175,18 +176,21 @@ def doc_windows(docs: DataFrame, lengths: list[int], wanted, units=UNITS, names=
 def template_matches(docs: DataFrame, items: DataFrame, width: int = WINDOW, units=UNITS, names=NAMES) -> DataFrame:
     """(template, doc_id, item_id, length, doc_words, item_words): joined windows of equal template.
 
-    If the items have at most MAX_BROADCAST templates, a number that is counted first, their hashes
-    go to every task and windows of the corpus that match none never leave it; beyond that, all
-    windows are shuffled. In both cases the join itself is a Spark hash join on template.
+    If the items have at most MAX_BROADCAST windows, a number that is counted first, their hashes go
+    to every task, windows of the corpus that match none never leave it, and the item windows are
+    the broadcast side of the hash join, so a passage in a third of all documents makes no large
+    task. Beyond that, all windows are shuffled and joined by hash of the template.
     """
     import numpy as np
 
     spark: SparkSession = docs.sparkSession
-    mine = _item_table(items, width, units, names)
+    mine = Scratch(spark).write(_item_table(items, width, units, names), "items")
     lengths = sorted(r[0] for r in mine.select("length").distinct().collect())
-    hashes = mine.select("template").distinct().limit(MAX_BROADCAST + 1).toArrow().column(0).to_numpy()
-    wanted = spark.sparkContext.broadcast(np.sort(hashes)) if len(hashes) <= MAX_BROADCAST else None
-    return doc_windows(docs, lengths, wanted, units, names).join(mine, ["template", "length"])
+    if mine.limit(MAX_BROADCAST + 1).count() > MAX_BROADCAST:
+        return doc_windows(docs, lengths, None, units, names).join(mine, ["template", "length"])
+    hashes = mine.select("template").distinct().toArrow().column(0).to_numpy()
+    wanted = spark.sparkContext.broadcast(np.sort(hashes))
+    return doc_windows(docs, lengths, wanted, units, names).join(F.broadcast(mine), ["template", "length"])
 
 
 def leaked_pairs(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:

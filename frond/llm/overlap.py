@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from frond.functions.keys import digest, fingerprint, split_name
+from frond.operators.skew import lookup
 
 BITS = 64
 
@@ -116,7 +117,7 @@ def overlap_report(images: DataFrame, max_bits: int = 5) -> DataFrame:
     held = p.where("split <> 'train'")
     # counted by (split, source, hash, fp) first: copies shrink before the joins on hash and fp
     held = held.groupBy("split", "source", "hash", "fp").agg(F.count(F.lit(1)).alias("n"))
-    held = held.join(hashes, "hash", "left").join(fps, "fp", "left")
+    held = lookup(lookup(held, hashes, "hash", [], "left"), fps, "fp", [], "left")
     n = lambda c: F.sum(F.when(c, F.col("n")).otherwise(F.lit(0)))
     s, c = F.coalesce("same", F.lit(False)), F.coalesce("close", F.lit(False))
     return held.groupBy("split", "source").agg(F.sum("n").alias("images"), n(s).alias("same_hash"), n(c).alias("near"), n(s | c).alias("leaked"))

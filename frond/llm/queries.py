@@ -87,9 +87,21 @@ def p9_shares(spark, d):
     return spans.shared_sentences(table(spark, d, "documents"))
 
 
+def p6_report(spark, d):
+    """Wanted and drawn rows of every disease target, with the gap."""
+    units = quota.disease_units(table(spark, d, "raw_pairs"))
+    plan = quota.calibrate(units, quota.target_rows(table(spark, d, "sample_targets"), "disease_name"))
+    drawn = quota.pivotal_sample(units, plan).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    return plan.join(drawn, "key", "left").select("target_id", "key", "share", "min_rows", "supply", "quota", F.when(F.col("quota") > 0, F.col("n")).otherwise(0).cast("bigint").alias("drawn"), "met", "gap")
+
+
+def p9_cleaned(spark, d):
+    return spans.without_repeats(table(spark, d, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_splits, p4_found, p4_report, p5_found, p5_subset, p6_found, p6_targets, p6_sample, p7_found, p7_kinds, p8_found, p8_mix, p8_report, p9_found, p9_shares)
+    for f in (p1_found, p1_splits, p4_found, p4_report, p5_found, p5_subset, p6_found, p6_targets, p6_sample, p6_report, p7_found, p7_kinds, p8_found, p8_mix, p8_report, p9_found, p9_shares, p9_cleaned)
 }
 
 _KEY = "nullif(trim(regexp_replace(lower({c}), '[^a-z0-9]+', ' ', 'g')), '')"

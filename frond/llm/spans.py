@@ -19,7 +19,7 @@ from frond.storage import Scratch
 
 SPAN = 300
 GRAM = 200
-#: Texts that share a gram and are compared pair by pair; larger groups go by their exact windows.
+#: Places of a gram that are compared pair by pair; larger groups go by their exact windows.
 PAIRED_GROUP = 64
 
 
@@ -28,14 +28,15 @@ def _texts(docs: DataFrame, span: int) -> DataFrame:
     return docs.where(long_enough).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
 
-def copies(docs: DataFrame) -> DataFrame:
+def copies(docs: DataFrame, scratch: Scratch, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(doc_id, rep): documents of equal texts, by SHA-256, with the smallest id among them.
 
     Only classes of two or more appear. An id that is listed twice with one text is one document.
     """
     d = docs.select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest")).distinct()
     reps = d.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return lookup(d, reps.select("digest", "rep"), "digest", []).select("doc_id", "rep")
+    reps = scratch.write(reps, "classes")
+    return lookup(d, reps.select("digest", "rep"), "digest", hot_keys(reps, "digest", "n", hot_rows)).select("doc_id", "rep")
 
 
 def _anchor_rows(docs: DataFrame, span: int, gram: int) -> DataFrame:
@@ -55,28 +56,28 @@ def _anchor_rows(docs: DataFrame, span: int, gram: int) -> DataFrame:
 
 
 def _contexts(docs: DataFrame, places: DataFrame, span: int, gram: int) -> DataFrame:
-    """(h, doc_id, before, gram, after): the gram with up to span - gram characters on either side.
+    """(h, large, doc_id, before, gram, after): the gram with up to span - gram characters on either side.
 
     ``before`` is reversed, so that common endings are common beginnings. A document's places are
     gathered first, at most as many as its grams, and meet its text once.
     """
     margin = span - gram
-    per = places.groupBy("doc_id").agg(F.collect_list(F.struct("at", "h")).alias("places"))
+    per = places.groupBy("doc_id").agg(F.collect_list(F.struct("at", "h", "large")).alias("places"))
 
     def run(batches):
         import pyarrow as pa
 
-        names = ["h", "doc_id", "before", "gram", "after"]
+        names = ["h", "large", "doc_id", "before", "gram", "after"]
         for b in batches:
             out: list = []
             for d, t, ps in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), b.column("places").to_pylist()):
                 for p in ps:
                     a = p["at"]
-                    out.append((p["h"], d, t[max(0, a - margin) : a][::-1], t[a : a + gram], t[a + gram : a + span]))
+                    out.append((p["h"], p["large"], d, t[max(0, a - margin) : a][::-1], t[a : a + gram], t[a + gram : a + span]))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=names)
 
-    return docs.join(per, "doc_id").mapInArrow(run, "h bigint, doc_id bigint, before string, gram string, after string")
+    return docs.join(per, "doc_id").mapInArrow(run, "h bigint, large boolean, doc_id bigint, before string, gram string, after string")
 
 
 def _common(a: list, b: list) -> list:
@@ -145,36 +146,37 @@ def _windowed(ctx: DataFrame, span: int, gram: int) -> DataFrame:
     return one.join(two, "window").where("rep_a < rep_b").select("rep_a", "rep_b").distinct()
 
 
-def class_pairs(docs: DataFrame, span: int = SPAN, gram: int = GRAM, paired: int = PAIRED_GROUP, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
+def class_pairs(docs: DataFrame, span: int = SPAN, gram: int = GRAM, paired: int = PAIRED_GROUP, scratch: Scratch | None = None, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
     """Pairs (rep_a, rep_b) of different texts with ``span`` common characters, and the copies table.
 
     Grams that only one text names are dropped after a combining aggregate. Copies take part by
-    their representative, so a text that a third of the documents repeat is one text. Up to
-    ``paired`` texts with a gram are compared in pairs; larger groups by exact windows, whole.
+    their representative, so a text that a third of the documents repeat is one text. Grams at up to
+    ``paired`` places are compared in pairs; larger groups by exact windows, whole.
     """
     scratch = scratch or Scratch(docs.sparkSession)
     long_docs = _texts(docs, span)
-    same = scratch.write(copies(long_docs), "copies")
+    same = scratch.write(copies(long_docs, scratch, hot_rows), "copies")
     rows = scratch.write(_anchor_rows(long_docs, span, gram), "anchors")
-    shared = rows.groupBy("h").agg(F.min("text_key").alias("x"), F.max("text_key").alias("y")).where("x <> y").select("h")
+    shared = rows.groupBy("h").agg(F.min("text_key").alias("x"), F.max("text_key").alias("y"), F.count(F.lit(1)).alias("n")).where("x <> y")
+    shared = scratch.write(shared.select("h", "n", (F.col("n") > paired).alias("large")), "shared")
     others = same.where("doc_id <> rep").select("doc_id")
     # a gram may stand at several places of a text: all count
-    places = rows.select("h", "doc_id", "at").join(shared, "h", "left_semi").join(others, "doc_id", "left_anti").distinct()
+    places = lookup(rows.select("h", "doc_id", "at"), shared.drop("n"), "h", hot_keys(shared, "h", "n", hot_rows))
+    places = places.join(others, "doc_id", "left_anti").distinct()
     ctx = scratch.write(_contexts(long_docs, scratch.write(places, "places"), span, gram), "contexts")
-    sizes = ctx.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > paired).select("h")
-    small = _paired(ctx.join(sizes, "h", "left_anti"), span - gram)
-    large = _windowed(ctx.join(sizes, "h", "left_semi"), span, gram)
+    small = _paired(ctx.where("not large"), span - gram)
+    large = _windowed(ctx.where("large"), span, gram)
     return small.unionByName(large).distinct(), same
 
 
-def stretch_pairs(docs: DataFrame, span: int = SPAN, gram: int = GRAM, paired: int = PAIRED_GROUP) -> DataFrame:
+def stretch_pairs(docs: DataFrame, span: int = SPAN, gram: int = GRAM, paired: int = PAIRED_GROUP, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(doc_id_a, doc_id_b), a < b: documents whose texts have ``span`` consecutive characters in common.
 
     Null, empty and shorter texts share nothing; compared exactly, by code points. Copies are
     expanded to documents at the end.
     """
     scratch = Scratch(docs.sparkSession)
-    reps, same = class_pairs(docs, span, gram, paired, scratch)
+    reps, same = class_pairs(docs, span, gram, paired, scratch, hot_rows)
     member = lambda n: same.select(F.col("rep").alias(f"rep_{n}"), F.col("doc_id").alias(f"m_{n}"))
     wide = reps.join(member("a"), "rep_a", "left").join(member("b"), "rep_b", "left")
     x, y = F.coalesce("m_a", "rep_a"), F.coalesce("m_b", "rep_b")
@@ -270,3 +272,37 @@ def shared_sentences(docs: DataFrame, min_chars: int = SPAN, least: int = 2, hot
     base = docs.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max(F.coalesce(F.length("text"), F.lit(0))).cast("bigint").alias("n_chars"))
     out = base.join(covered(F.col("elsewhere"), "shared_chars"), "doc_id", "left").join(covered(~F.col("is_first"), "removable_chars"), "doc_id", "left")
     return out.select("doc_id", "n_chars", F.coalesce("shared_chars", F.lit(0)).alias("shared_chars"), F.coalesce("removable_chars", F.lit(0)).alias("removable_chars"))
+
+
+def without_repeats(docs: DataFrame, min_chars: int = SPAN, least: int = 2, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(doc_id, text): every document without the sentences that a non-first repeated run covers.
+
+    Whole sentences go, with the blanks after them. Documents without such a run, and null texts,
+    come through unchanged. Runs of a document are gathered, at most as many as its sentences.
+    """
+    cut = repeated_runs(docs, min_chars, least, hot_rows).where("not is_first")
+    per = cut.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("runs"))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            out: list = []
+            for t, runs in zip(b.column("text").to_pylist(), b.column("runs").to_pylist()):
+                if runs and t:
+                    spans = sorted((r["start"], r["end"]) for r in runs)
+                    keep, at = [], 0
+                    gone = [False] * len(b0 := sentence_bounds(t))
+                    j = 0
+                    for i, (s, e) in enumerate(b0):
+                        while at < len(spans) and spans[at][0] <= s:
+                            j = max(j, spans[at][1])
+                            at += 1
+                        gone[i] = s < j
+                    keep = [t[s:e] for (s, e), g in zip(b0, gone) if not g]
+                    t = "".join(keep)
+                out.append(t)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.string())], names=["doc_id", "text"])
+
+    base = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return base.join(per, "doc_id", "left").select("doc_id", "text", "runs").mapInArrow(run, "doc_id bigint, text string")

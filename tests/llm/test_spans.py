@@ -35,11 +35,11 @@ def corpus(seed, span):
     return rows + rows[:3]
 
 
-@pytest.mark.parametrize("seed,paired", [(1, 64), (2, 64), (3, 1)])
-def test_pairs_match_brute_force(spark, seed, paired):
+@pytest.mark.parametrize("seed,paired,hot", [(1, 64, 1000), (2, 64, 3), (3, 1, 1000), (4, 1, 3)])
+def test_pairs_match_brute_force(spark, seed, paired, hot):
     span = 60
     rows = corpus(seed, span)
-    got = [tuple(r) for r in S.stretch_pairs(docs(spark, rows), span=span, gram=40, paired=paired).collect()]
+    got = [tuple(r) for r in S.stretch_pairs(docs(spark, rows), span=span, gram=40, paired=paired, hot_rows=hot).collect()]
     assert len(got) == len(set(got)) and set(got) == brute(rows, span)
 
 
@@ -86,5 +86,7 @@ def test_shared_sentence_shares(spark):
     ab = len(a + b) - 1
     assert got[1] == (len(a + b + c), ab, 0) and got[2] == (len(d + a + b), ab, ab) and got[4] == (0, 0, 0) and got[3][1] == 0
     assert got[5][1] == got[5][2] == 2 * ab
+    clean = {r.doc_id: r.text for r in S.without_repeats(docs(spark, rows), min_chars=30, least=2).collect()}
+    assert clean == {1: a + b + c, 2: d, 3: c + d, 4: None, 5: ""}
     hot = {r.doc_id: (r.n_chars, r.shared_chars, r.removable_chars) for r in S.shared_sentences(docs(spark, rows), min_chars=30, least=2, hot_rows=1).collect()}
     assert hot == got
