@@ -32,8 +32,10 @@ NAMES = frozenset(
     "fig gourd hazel leek lentil medlar millet parsnip plum quince radish rhubarb sesame sorrel taro turnip".split()
 )
 
+#: Characters whose words are held at once.
+GROUP_CHARS = 1 << 22
+
 _NUM, _UNIT, _NAME = 1, 2, 3
-_MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -119,56 +121,68 @@ def _item_table(items: DataFrame, width: int, units, names) -> DataFrame:
     return items.select(F.col("item_id").cast("bigint"), "text").mapInArrow(run, "template bigint, item_id bigint, length int, item_words string").distinct()
 
 
+def _hits(group: list, lengths: list[int], seek, lex: Lexicon) -> list[tuple]:
+    """Wanted windows of some documents; a window's repeats inside a document count once."""
+    import numpy as np
+
+    flat: list[str] = []
+    ends = []
+    for _, t in group:
+        flat.extend(words(t))
+        ends.append(len(flat))
+    known = lex.known
+    codes = _mix(np.array([(known.get(w) or lex(w))[0] for w in flat], np.uint64))
+    last = np.array(ends)
+    out: list = []
+    seen: set = set()
+    for k in lengths:
+        h = rolling(codes, k).view(np.int64)
+        if not len(h):
+            continue
+        if seek is None:
+            hit = np.arange(len(h))
+        elif len(seek):
+            at = np.searchsorted(seek, h)
+            at[at == len(seek)] = 0
+            hit = np.flatnonzero(seek[at] == h)
+        else:
+            continue
+        doc = np.searchsorted(last, hit, side="right")
+        inside = hit + k <= last[doc]
+        for p, d in zip(hit[inside].tolist(), doc[inside].tolist()):
+            text = " ".join(flat[p : p + k])
+            if (d, text) not in seen:
+                seen.add((d, text))
+                out.append((int(h[p]), group[d][0], k, text))
+    return out
+
+
 def doc_windows(docs: DataFrame, lengths: list[int], wanted, units=UNITS, names=NAMES) -> DataFrame:
     """(template, doc_id, length, doc_words) of the windows whose template is among ``wanted``.
 
-    ``wanted`` is a broadcast of sorted hashes, or None for all windows. Whole texts are read; ids
-    of all words of an Arrow batch are hashed as one array.
+    ``wanted`` is a broadcast of sorted hashes, or None for all windows. Whole texts are read; the
+    words of documents of together some GROUP_CHARS characters are hashed as one array.
     """
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
         lex = Lexicon(units, names)
         seek = None if wanted is None else wanted.value
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.string())
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            flat: list[str] = []
-            ends, owners = [], []
-            for i, t in zip(ids, texts):
-                if i is None:
-                    continue
-                flat.extend(words(t))
-                ends.append(len(flat))
-                owners.append(i)
-            if not flat:
-                continue
-            known, find = lex.known, lex
-            codes = _mix(np.array([(known.get(w) or find(w))[0] for w in flat], np.uint64))
-            ends_a, starts_a = np.array(ends), np.array([0, *ends[:-1]])
-            out: list = []
-            for k in lengths:
-                h = rolling(codes, k).view(np.int64)
-                if not len(h):
-                    continue
-                if seek is None:
-                    hit = np.arange(len(h))
-                else:
-                    at = np.searchsorted(seek, h)
-                    at[at == len(seek)] = 0
-                    hit = np.flatnonzero(seek[at] == h) if len(seek) else np.empty(0, np.int64)
-                doc = np.searchsorted(ends_a, hit, side="right")
-                hit, doc = (inside := hit[hit + k <= ends_a[doc]]), np.searchsorted(ends_a, inside, side="right")
-                seen = set()
-                for p, d in zip(hit.tolist(), doc.tolist()):
-                    text = " ".join(flat[p : p + k])
-                    if (d, text) not in seen:
-                        seen.add((d, text))
-                        out.append((int(h[p]), owners[d], k, text))
-            if out:
-                cols = list(zip(*out))
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.string())], names=["template", "doc_id", "length", "doc_words"])
+            group: list = []
+            chars = 0
+            rows = zip(b.column(0).to_pylist(), b.column(1).to_pylist())
+            for i, t in [*rows, (None, None)]:
+                if i is not None and t:
+                    group.append((i, t))
+                    chars += len(t)
+                if group and (chars >= GROUP_CHARS or (i is None and t is None)):
+                    out = _hits(group, lengths, seek, lex)
+                    if out:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["template", "doc_id", "length", "doc_words"])
+                    group, chars = [], 0
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "template bigint, doc_id bigint, length int, doc_words string")
 
