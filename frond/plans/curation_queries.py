@@ -157,7 +157,16 @@ def grf01_components(spark, d):
     return dedup.near_components(images(spark, d).select("image_id", "fp"), "image_id", "fp", 5)
 
 
-@query()
+@query(f"""with recursive {_IMG}, ok as (select image_id, split, digest, fp from img where split is not null),
+ lk as (select digest from ok where digest is not null group by digest having count(distinct split) > 1),
+ ex as (select image_id, split, 'exact' as kind, row_number() over (partition by digest order by {_RANK}, image_id) = 1 as kept from ok where digest in (select digest from lk)),
+ rest as (select * from ok where image_id not in (select image_id from ex)), f as (select distinct fp from rest where fp is not null),
+ e as (select a.fp as a, b.fp as b from f a join f b on a.fp <> b.fp and bit_count(xor(a.fp, b.fp)) <= 5),
+ reach(a, b) as (select fp, fp from f union select r.a, e.b from reach r join e on r.b = e.a),
+ least_id as (select fp, min(image_id) as i from rest where fp is not null group by fp), comp as (select r.a as fp, min(i) as component from reach r join least_id l on l.fp = r.b group by r.a),
+ m as (select image_id, split, component from rest join comp using (fp)), ml as (select component from m group by component having count(distinct split) > 1)
+ select image_id, split, kind, kept from ex union all
+ select image_id, split, 'near', row_number() over (partition by component order by {_RANK}, image_id) = 1 from m where component in (select component from ml)""")
 def grf02_leakage_report(spark, d):
     return dedup.leakage_report(images(spark, d).select("image_id", "digest", "fp", "split"), "image_id", "digest", "fp", "split", 5)
 
