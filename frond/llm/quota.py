@@ -79,31 +79,39 @@ def round_to_total(parts: list[float], caps: list[int], total: int) -> list[int]
     return out
 
 
+def scale(wish: list[float], low: list[float], high: list[float], size: float) -> list[float]:
+    """Wishes times one factor, kept within their bounds, so that they add to ``size``.
+
+    The sum grows with the factor, which is found by bisection. If even the lower bounds exceed
+    ``size`` they stay as they are; if the upper bounds cannot reach it, all that is there is taken.
+    """
+    at = lambda c: [min(h, max(lo, c * w)) for w, lo, h in zip(wish, low, high)]
+    most = max([1.0, *(h / w for w, h in zip(wish, high) if w > 0)])
+    if sum(at(0.0)) >= size:
+        return at(0.0)
+    if sum(at(most)) <= size:
+        return at(most)
+    a, b = 0.0, most
+    for _ in range(200):
+        c = (a + b) / 2
+        a, b = (c, b) if sum(at(c)) < size else (a, c)
+    return at(b)
+
+
 def plan(rows: list) -> list[dict]:
     """Quotas of one field's targets.
 
-    A wish is share * size but at least min_rows; it is fixed at the supply where that is smaller.
-    If wishes exceed the size, those at their floor or supply stay fixed and the others are scaled
-    down to what is left, never below a floor. Rows a scarce category lacks are not given to others:
-    shares are wanted shares, and the lack is reported as a gap.
+    A wish is share * size. Wishes are scaled by one factor so that quotas add to the size, each
+    between its floor (min_rows, or the supply if smaller) and its supply. What a scarce category
+    lacks thus goes to the others in proportion, which leaves their shares among each other as
+    wanted. Floors that exceed the size by themselves are kept. Targets whose supply is below the
+    wish or below min_rows are not met; the gap is what the quota lacks of the greater of both.
     """
     size = max([0, *(r["sample_size"] for r in rows)])
     floor = [min(r["min_rows"], r["supply"]) for r in rows]
-    want = [min(float(r["supply"]), max(r["share"] * r["sample_size"], float(r["min_rows"]))) for r in rows]
-    fixed = [w <= f for w, f in zip(want, floor)]
-    while sum(want) > size + 1e-6:
-        free = sum(w for w, x in zip(want, fixed) if not x)
-        left = size - sum(w for w, x in zip(want, fixed) if x)
-        if free <= 0:
-            break
-        scaled = [w if x else max(0.0, w * left / free) for w, x in zip(want, fixed)]
-        low = [i for i, (w, f) in enumerate(zip(scaled, floor)) if not fixed[i] and w < f]
-        if not low:
-            want = scaled
-            break
-        for i in low:
-            want[i], fixed[i] = float(floor[i]), True
-    quota = round_to_total(want, [r["supply"] for r in rows], min(size, round(sum(want))))
+    supply = [r["supply"] for r in rows]
+    want = scale([r["share"] * r["sample_size"] for r in rows], [float(f) for f in floor], [float(s) for s in supply], float(size))
+    quota = round_to_total(want, supply, round(sum(want)))
     quota = [max(q, f) for q, f in zip(quota, floor)]
     lam = newton_tilt([r["supply"] for r in rows], [float(q) for q in quota])
     out = []

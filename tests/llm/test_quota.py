@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Row
 
 from frond.llm import quota as Q
 
@@ -41,6 +42,20 @@ def test_sample_hits_quotas_floors_and_gaps(spark):
     assert sorted(got) == sorted(again)
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.tuples(st.floats(0, 1), st.integers(0, 30), st.integers(0, 500)), min_size=1, max_size=8), st.integers(0, 900))
+def test_quotas_fill_the_size_within_bounds(parts, size):
+    rows = [Row(target_id=i, key=str(i), share=a, min_rows=m, sample_size=size, supply=s) for i, (a, m, s) in enumerate(parts)]
+    got = Q.plan(rows)
+    floors = [min(r.min_rows, r.supply) for r in rows]
+    assert all(f <= p["quota"] <= p["supply"] for p, f in zip(got, floors))
+    reach = sum(r.supply if r.share > 1e-6 else min(r.min_rows, r.supply) for r in rows)
+    if sum(floors) <= size <= reach and all(r.share == 0 or r.share > 1e-6 for r in rows):
+        assert abs(sum(p["quota"] for p in got) - size) <= 1
+    for p in got:
+        assert p["met"] == (p["supply"] >= p["share"] * size and p["supply"] >= p["min_rows"])
+
+
 def test_inclusion_is_even(spark):
     u = units(spark, {"a": 60})
     t = targets(spark, [(1, "disease_name", "a", 1.0, 0, 15)])
