@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from frond import storage
 from frond.functions.keys import file_key
+from frond.storage import Scratch
 
 #: Parquet with zstd holds label and note text in about a third of the bytes the shuffle sees.
 SHUFFLE_TO_FILE = 3
@@ -77,17 +78,16 @@ def current_label_files(files: DataFrame) -> DataFrame:
     Rows whose label_path names no file (null, blank) are kept as they are: nothing shows that they
     repeat another. A null modified_at is older than any other. On a tie the smallest file_id stays.
     The latest row is found by an aggregate, which combines before its shuffle, and fetched by its
-    unique file_id, so a file listed a million times makes no large task.
+    unique file_id, so a file listed a million times makes no large task. The ids are written once,
+    as the rows are read for a checksum and again for writing. Rows without file_id are kept.
     """
-    keyed = files.select("file_id", "modified_at", file_key(F.col("label_path")).alias("_file"))
-    best = keyed.where(F.col("_file").isNotNull() & F.col("file_id").isNotNull()).groupBy("_file").agg(
-        F.max(F.struct("modified_at", (-F.col("file_id")).alias("m"))).alias("b")
-    )
-    ids = best.select((-F.col("b.m")).alias("_keep"))
-    nameless = file_key(F.col("label_path")).isNull() | F.col("file_id").isNull()
-    rest = files.where(~nameless)
-    named = rest.join(ids, rest["file_id"] == ids["_keep"], "left_semi")
-    return named.unionByName(files.where(nameless))
+    keyed = files.where(F.col("file_id").isNotNull()).select("file_id", "modified_at", file_key(F.col("label_path")).alias("_file"))
+    # a row without a file is a group of its own; the complement of an id orders it downwards
+    group = F.when(F.col("_file").isNull(), F.col("file_id"))
+    best = keyed.groupBy("_file", group.alias("_alone")).agg(F.max(F.struct("modified_at", F.bitwise_not("file_id").alias("m"))).alias("b"))
+    ids = Scratch(files.sparkSession).write(best.select(F.bitwise_not("b.m").alias("_keep")), "current")
+    named = files.join(ids, files["file_id"] == ids["_keep"], "left_semi")
+    return named.unionByName(files.where(F.col("file_id").isNull()))
 
 
 def compact_label_files(spark: SparkSession, files: DataFrame, target: str, file_bytes: int = 128 << 20) -> dict:
