@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from frond.functions.keys import digest, fingerprint, split_name
 from frond.operators.skew import lookup
+from frond.storage import Scratch
 
 BITS = 64
 
@@ -77,14 +78,13 @@ def prepared(images: DataFrame) -> DataFrame:
     ).where(F.col("image_id").isNotNull() & F.col("split").isNotNull())
 
 
-def class_overlaps(images: DataFrame, max_bits: int = 5) -> DataFrame:
+def class_overlaps(p: DataFrame, max_bits: int = 5) -> DataFrame:
     """(fp_left, fp_right, cosine): fingerprints of train that are near one of val or test.
 
-    Copies count once: joins run over distinct fingerprints, so a fingerprint that a third of all
+    ``p`` is a prepared table. Copies count once: joins run over distinct fingerprints, so a fingerprint that a third of all
     images share is one row on each side.
     """
-    p = prepared(images).where(F.col("fp").isNotNull())
-    side = lambda c: p.where(c).groupBy("fp").agg(F.lit(1).alias("_")).select("fp")
+    side = lambda c: p.where(F.col("fp").isNotNull() & c).groupBy("fp").agg(F.lit(1).alias("_")).select("fp")
     return fingerprint_join(side(F.col("split") == "train"), side(F.col("split") != "train"), max_bits)
 
 
@@ -94,12 +94,12 @@ def image_pairs(images: DataFrame, max_bits: int = 5) -> DataFrame:
     Images without split or id take no part; a missing hash or fingerprint equals nothing. Each
     pair has one row. Copies are expanded here, since the result lists images.
     """
-    p = prepared(images)
+    p = Scratch(images.sparkSession).write(prepared(images), "images")
     train, held = p.where(F.col("split") == "train"), p.where(F.col("split") != "train")
     t = train.select(F.col("image_id").alias("t"), F.col("hash").alias("th"), F.col("fp").alias("fp_left"))
     h = held.select(F.col("image_id").alias("h"), F.col("hash").alias("hh"), F.col("fp").alias("fp_right"))
     same = t.join(h, F.col("th") == F.col("hh")).select("t", "h")
-    near = class_overlaps(images, max_bits).join(t, "fp_left").join(h, "fp_right")
+    near = class_overlaps(p, max_bits).join(t, "fp_left").join(h, "fp_right")
     near = near.where(~F.coalesce(F.col("th") == F.col("hh"), F.lit(False))).select("t", "h")
     both = same.unionByName(near)
     return both.select(F.least("t", "h").alias("image_id_a"), F.greatest("t", "h").alias("image_id_b")).where("image_id_a < image_id_b").distinct()
@@ -111,9 +111,9 @@ def overlap_report(images: DataFrame, max_bits: int = 5) -> DataFrame:
     No pair of images is formed: a held-out image is marked by its hash and by its fingerprint, so
     the cost follows the distinct values.
     """
-    p = prepared(images)
+    p = Scratch(images.sparkSession).write(prepared(images), "images")
     hashes = p.where("split = 'train' and hash is not null").groupBy("hash").agg(F.lit(True).alias("same"))
-    fps = class_overlaps(images, max_bits).groupBy(F.col("fp_right").alias("fp")).agg(F.lit(True).alias("close"))
+    fps = class_overlaps(p, max_bits).groupBy(F.col("fp_right").alias("fp")).agg(F.lit(True).alias("close"))
     held = p.where("split <> 'train'")
     # counted by (split, source, hash, fp) first: copies shrink before the joins on hash and fp
     held = held.groupBy("split", "source", "hash", "fp").agg(F.count(F.lit(1)).alias("n"))
