@@ -15,6 +15,7 @@ their dot product. The dot product of the survivors is exact.
 from __future__ import annotations
 
 from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,14 +44,30 @@ def list_masks(max_bits: int, blocks: int) -> list[int]:
     return [_signed(sum(c)) for c in combinations(block_masks(blocks), blocks - max_bits)]
 
 
+def choose_blocks(n_left: int, n_right: int, max_bits: int) -> int:
+    """Number of blocks of least expected cost; every choice gives the same pairs.
+
+    Few blocks mean few lists but short equal parts, hence more candidates by chance; their number
+    is estimated for fingerprints spread evenly. A candidate costs about a fifth of a shuffled row.
+    """
+
+    def cost(b: int) -> float:
+        lists = comb(b, b - max_bits)
+        equal = BITS * (b - max_bits) / b
+        return lists * (n_left + n_right + 0.2 * n_left * n_right / 2**equal)
+
+    return min(range(max_bits + 1, min(BITS, max_bits + 5) + 1), key=cost)
+
+
 def fingerprint_join(left: DataFrame, right: DataFrame, max_bits: int = 5, blocks: int | None = None) -> DataFrame:
     """Pairs (fp_left, fp_right, cosine) of distinct fingerprints with at most ``max_bits`` differing.
 
     Inputs have a column ``fp`` and should hold each fingerprint once; null fingerprints match
-    nothing. With ``blocks`` = max_bits + 3 a list needs about 24 equal bits of 64 at k = 5. A pair
-    found by several lists is emitted by the first of them only, so no deduplicating shuffle.
+    nothing. ``blocks`` is chosen by the inputs' sizes unless given; with 8 a list needs 24 equal
+    bits of 64 at k = 5. A pair found by several lists is emitted by the first of them only, so no
+    deduplicating shuffle.
     """
-    blocks = blocks or min(BITS, max_bits + 3)
+    blocks = blocks or choose_blocks(left.count(), right.count(), max_bits)
     masks = list_masks(max_bits, blocks)
     all_masks = F.array(*[F.lit(m).cast("bigint") for m in masks])
 
@@ -84,7 +101,8 @@ def class_overlaps(p: DataFrame, max_bits: int = 5) -> DataFrame:
     ``p`` is a prepared table. Copies count once: joins run over distinct fingerprints, so a fingerprint that a third of all
     images share is one row on each side.
     """
-    side = lambda c: p.where(F.col("fp").isNotNull() & c).groupBy("fp").agg(F.lit(1).alias("_")).select("fp")
+    scratch = Scratch(p.sparkSession)
+    side = lambda c: scratch.write(p.where(F.col("fp").isNotNull() & c).groupBy("fp").agg(F.lit(1).alias("_")).select("fp"), "side")
     return fingerprint_join(side(F.col("split") == "train"), side(F.col("split") != "train"), max_bits)
 
 

@@ -62,6 +62,15 @@ def test_join_is_exact_for_other_bounds(spark):
     assert all(abs(r.cosine - (1 - 2 * ((r.fp_left ^ r.fp_right) & ((1 << 64) - 1)).bit_count() / 64)) < 1e-12 for r in O.fingerprint_join(df, df, 1).collect())
 
 
+def test_block_choice(spark):
+    assert [O.choose_blocks(n, n, 5) for n in (10, 10**5, 10**6, 10**9)] == sorted(O.choose_blocks(n, n, 5) for n in (10, 10**5, 10**6, 10**9))
+    rng = random.Random(7)
+    vals = [rng.getrandbits(12) << 20 for _ in range(80)]
+    df = spark.createDataFrame([(v,) for v in set(vals)], "fp bigint")
+    sets = [{(r[0], r[1]) for r in O.fingerprint_join(df, df, 3, b).collect()} for b in (4, 5, 6, 9)]
+    assert all(s == sets[0] for s in sets) and len(sets[0]) > len(df.collect())
+
+
 def test_bad_parameters():
     with pytest.raises(ValueError):
         O.list_masks(5, 5)
