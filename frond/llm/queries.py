@@ -40,6 +40,11 @@ def p5_subset(spark, d):
     return variety.varied_subset(table(spark, d, "audit_images"), SUBSET)
 
 
+def p5_varied(spark, d):
+    """The subset over binned sizes, so that all of their range is in it."""
+    return variety.spread_subset(table(spark, d, "audit_images"), SUBSET)
+
+
 def p6_found(spark, d):
     return quota.unmet_targets(spark, table(spark, d, "raw_pairs"), table(spark, d, "crop_recommendations"), table(spark, d, "sample_targets"))
 
@@ -101,7 +106,7 @@ def p9_cleaned(spark, d):
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_splits, p4_found, p4_report, p5_found, p5_subset, p6_found, p6_targets, p6_sample, p6_report, p7_found, p7_kinds, p8_found, p8_mix, p8_report, p9_found, p9_shares, p9_cleaned)
+    for f in (p1_found, p1_splits, p4_found, p4_report, p5_found, p5_subset, p5_varied, p6_found, p6_targets, p6_sample, p6_report, p7_found, p7_kinds, p8_found, p8_mix, p8_report, p9_found, p9_shares, p9_cleaned)
 }
 
 _KEY = "nullif(trim(regexp_replace(lower({c}), '[^a-z0-9]+', ' ', 'g')), '')"

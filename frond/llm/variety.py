@@ -82,6 +82,47 @@ order by cell_rank, long_side, short_side, coverage_band
 limit {k}
 """
 
+#: Sides in steps of an eighth of an octave; coarser grids halve the number of steps again and again.
+FINE = """
+select *, cast(floor(log2(long_side) * 8) as int) as long_fine, cast(floor(log2(short_side) * 8) as int) as short_fine from ({usable})
+"""
+
+#: Occupied cells of each grid; at the coarsest all sizes are in one bin.
+GRIDS = """
+select j, count(*) as n from (
+  select distinct j, shiftright(long_fine, j) as l, shiftright(short_fine, j) as s, coverage_band
+  from (select distinct long_fine, short_fine, coverage_band from ({fine})) lateral view explode(sequence(0, 8)) as j
+) group by j
+"""
+
+BINNED = """
+select audit_id, long_side, short_side, coverage_band, shiftright(long_fine, {j}) as long_bin, shiftright(short_fine, {j}) as short_bin from ({fine})
+"""
+
+SPREAD = """
+with cut as (
+  select *, cast(floor(u * {buckets}) as int) as bucket
+  from (select *, cast(conv(substring(sha2(concat('{seed}:', audit_id), 256), 1, 13), 16, 10) as double) / 4503599627370496D as u from ({binned}))
+),
+sizes as (select long_bin, short_bin, coverage_band, bucket, count(*) as n from cut group by 1, 2, 3, 4),
+offsets as (
+  select long_bin, short_bin, coverage_band, bucket,
+         coalesce(sum(n) over (partition by long_bin, short_bin, coverage_band order by bucket
+                               rows between unbounded preceding and 1 preceding), 0) as before
+  from sizes
+),
+ranked as (
+  select c.*, o.before + row_number() over (partition by c.long_bin, c.short_bin, c.coverage_band, c.bucket
+                                            order by c.u, c.audit_id) as cell_rank
+  from cut c join offsets o using (long_bin, short_bin, coverage_band, bucket)
+  where o.before < {level}
+)
+select audit_id, long_side, short_side, coverage_band, long_bin, short_bin, cast(cell_rank as bigint) as cell_rank from ranked
+where cell_rank <= {level}
+order by cell_rank, sha2(concat('{seed}:', long_bin, ':', short_bin, ':', coverage_band), 256), long_bin, short_bin, coverage_band
+limit {k}
+"""
+
 
 def _view(df: DataFrame) -> str:
     """A temporary view under a name of its own, so calls do not disturb each other."""
@@ -115,3 +156,20 @@ def varied_subset(audits: DataFrame, k: int, seed: int = 7, buckets: int = BUCKE
     cells = CELLS.format(usable=usable)
     level = spark.sql(LEVEL.format(cells=cells, k=max(0, int(k)))).first()[0]
     return spark.sql(PICK.format(usable=usable, seed=int(seed), buckets=int(buckets), level=int(level or 0), k=max(0, int(k))))
+
+
+def spread_subset(audits: DataFrame, k: int, seed: int = 7, buckets: int = BUCKETS) -> DataFrame:
+    """k records over the whole range of sizes: audit_id, its sides and band, its bins and its rank in the cell.
+
+    As ``varied_subset``, but sides are binned in steps of their logarithm, the finest of which the
+    occupied cells are fewer than k, and a round that k cuts is spread over the grid by a seeded hash
+    of the cell in place of the cells of the smallest sides. At most nine counts come to the driver.
+    """
+    spark: SparkSession = audits.sparkSession
+    k = max(0, int(k))
+    fine = FINE.format(usable=USABLE.format(audits=_view(audits)))
+    j = min((r.j for r in spark.sql(GRIDS.format(fine=fine)).collect() if r.n < k), default=8)
+    binned = BINNED.format(fine=fine, j=j)
+    cells = f"select count(*) as n from ({binned}) group by long_bin, short_bin, coverage_band"
+    level = spark.sql(LEVEL.format(cells=cells, k=k)).first()[0]
+    return spark.sql(SPREAD.format(binned=binned, seed=int(seed), buckets=int(buckets), level=int(level or 0), k=k))

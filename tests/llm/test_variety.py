@@ -59,3 +59,24 @@ def test_round_robin(spark):
 def test_nothing_asked_or_there(spark):
     assert V.varied_subset(table(spark, data()), 0).count() == 0
     assert V.varied_subset(table(spark, []), 5).count() == 0 and V.crowded_cells(table(spark, [])).count() == 0
+
+
+def test_whole_range_of_sizes(spark):
+    rng = random.Random(5)
+    rows = [(i, w := int(100 * 2 ** (rng.random() * 7)), rng.randrange(50, w + 1), rng.random() * 100, False) for i in range(3000)]
+    df, k = table(spark, rows), 200
+    got = V.spread_subset(df, k).collect()
+    assert len(got) == k == len({r.audit_id for r in got})
+    c, whole = cells(rows), V.spread_subset(df, 10_000, buckets=3).collect()
+    assert {r.audit_id: (r.long_side, r.short_side, r.coverage_band) for r in whole} == c
+    # fewer cells than k: each occupied cell gives its first before any gives its second
+    bins = {r.audit_id: (r.long_bin, r.short_bin, r.coverage_band) for r in got}
+    step = max(int(math.log2(r.long_side) * 8) for r in got) // max(r.long_bin for r in got)
+    j = round(math.log2(step))
+    size = Counter((int(math.log2(x) * 8) >> j, int(math.log2(y) * 8) >> j, b) for x, y, b in c.values())
+    n, most = Counter(bins.values()), max(r.cell_rank for r in got)
+    assert len(size) < k and all(n[x] >= min(size[x], most - 1) for x in size)
+    # the largest sizes are in it, and a cut first round is spread too
+    assert max(r.long_side for r in got) > 10_000
+    assert sum(r.long_side > 3000 for r in V.spread_subset(df, 10).collect()) >= 1
+    assert V.spread_subset(df, 0).count() == 0 and V.spread_subset(table(spark, []), 5).count() == 0
