@@ -10,7 +10,7 @@ from frond.operators.skew import bucketed_rank
 from frond.storage import Scratch
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-#: Widest remaining budget, in tokens, that the dynamic programme solves; more is filled seeded first.
+#: Tokens left to the dynamic programme, or the longest document that fits if that is more; the rest is filled before.
 DP_WINDOW = 1 << 14
 
 #: Fixed value: the cut of text into pieces that the byte-level vocabularies were made with.
@@ -122,6 +122,7 @@ def fit_source(hist: list[tuple[int, int]], wanted: float, max_repeats: int, see
     ``hist`` is (length, documents). After the full passes the remaining budget is below one pass.
     It is filled in proportion over all lengths down to ``window`` tokens, rounded down, which keeps
     the length profile of the source, and the rest exactly, by the dynamic programme over what is left.
+    ``window`` grows to the longest document that fits, so what is left stays below twice the window.
     """
     total = sum(w * c for w, c in hist)
     if total == 0 or max_repeats <= 0 or wanted <= 0:
@@ -130,6 +131,7 @@ def fit_source(hist: list[tuple[int, int]], wanted: float, max_repeats: int, see
     if passes >= max_repeats:
         return max_repeats, [0] * len(hist)
     rest = int(wanted) - passes * total
+    window = max(window, max((w for w, _ in hist if w <= rest), default=0))
     share = max(0, rest - window) / total
     take = [int(c * share) if w > 0 else 0 for w, c in hist]
     rest -= sum(w * t for (w, _), t in zip(hist, take))
@@ -144,7 +146,9 @@ def fit_source(hist: list[tuple[int, int]], wanted: float, max_repeats: int, see
         if more > 0:
             take[i] += more
             rest -= more * w
-    more = bounded_knapsack([hist[i][0] for i in order], [hist[i][1] - take[i] for i in order], rest) if rest <= 4 * window else [0] * len(order)
+    spare = [hist[i][1] - take[i] for i in order]
+    fits = sum(hist[i][0] * n for i, n in zip(order, spare) if hist[i][0] <= rest)
+    more = bounded_knapsack([hist[i][0] for i in order], spare, min(rest, fits))
     for i, m in zip(order, more):
         take[i] += m
     return passes, take

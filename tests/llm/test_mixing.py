@@ -71,3 +71,13 @@ def test_empty(spark):
     assert M.mixed(docs(spark, []), targets(spark, [("a", 0.5, 1)])).count() == 0
     assert M.mix_report(docs(spark, []), targets(spark, [("a", 0.5, 1)])).count() == 1
     assert M.mixed(docs(spark, [(1, "a", "x")]), targets(spark, [])).count() == 0
+
+
+def test_long_documents_are_fitted():
+    assert M.fit_source([(100_000, 3)], 110_000, 1, 7) == (0, [1])
+    assert M.fit_source([(100_000, 3)], 110_000, 2, 7) == (0, [1])
+    hist = [(60_000, 2), (100_000, 1)]
+    for seed in range(8):  # whatever the order, the best sum
+        assert M.fit_source(hist, 130_000, 1, seed) == (0, [2, 0])
+    passes, take = M.fit_source([(3, 1), (900_000, 2)], 899_999, 1, 7)
+    assert (passes, take) == (0, [1, 0])
