@@ -89,7 +89,11 @@ def p9_found(spark, d):
 
 
 def p9_shares(spark, d):
-    return spans.shared_sentences(table(spark, d, "documents"))
+    return spans.stretch_shares(table(spark, d, "documents"))
+
+
+def p9_stretches(spark, d):
+    return spans.shared_stretches(table(spark, d, "documents"))
 
 
 def p6_report(spark, d):
@@ -106,7 +110,7 @@ def p9_cleaned(spark, d):
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_splits, p4_found, p4_report, p5_found, p5_subset, p5_varied, p6_found, p6_targets, p6_sample, p6_report, p7_found, p7_kinds, p8_found, p8_mix, p8_report, p9_found, p9_shares, p9_cleaned)
+    for f in (p1_found, p1_splits, p4_found, p4_report, p5_found, p5_subset, p5_varied, p6_found, p6_targets, p6_sample, p6_report, p7_found, p7_kinds, p8_found, p8_mix, p8_report, p9_found, p9_shares, p9_stretches, p9_cleaned)
 }
 
 _KEY = "nullif(trim(regexp_replace(lower({c}), '[^a-z0-9]+', ' ', 'g')), '')"

@@ -1,10 +1,11 @@
 """Long exact spans shared between documents.
 
-Two operators. ``shared_sentences`` slides over sentences: each run of several consecutive ones is
-hashed, runs are joined globally, and sentences covered by a repeated run are measured or, unless
-the run is the first of its kind, removed. Sentence borders cannot promise to find every stretch of
-300 characters, since such a stretch may lie inside one sentence or hold a single whole one; so
-``stretch_pairs`` slides over borders chosen by content (see anchors) and is exact.
+Two operators. ``shared_sentences`` slides over sentences: the shortest long enough runs from and to
+each are hashed, which cover all longer ones, runs are joined globally, and sentences covered by a
+repeated run are measured or, unless the run is the first of its kind, removed. Sentence borders
+cannot promise to find every stretch of 300 characters, since such a stretch may lie inside one
+sentence or hold a single whole one; so ``stretch_pairs``, ``shared_stretches`` and
+``stretch_shares`` slide over borders chosen by content (see anchors) and are exact.
 """
 
 from __future__ import annotations
@@ -56,7 +57,7 @@ def _anchor_rows(docs: DataFrame, span: int, gram: int) -> DataFrame:
 
 
 def _contexts(docs: DataFrame, places: DataFrame, span: int, gram: int) -> DataFrame:
-    """(h, large, doc_id, before, gram, after): the gram with up to span - gram characters on either side.
+    """(h, large, doc_id, at, before, gram, after): the gram with up to span - gram characters on either side.
 
     ``before`` is reversed, so that common endings are common beginnings. A document's places are
     gathered first, at most as many as its grams, and meet its text once.
@@ -67,17 +68,19 @@ def _contexts(docs: DataFrame, places: DataFrame, span: int, gram: int) -> DataF
     def run(batches):
         import pyarrow as pa
 
-        names = ["h", "large", "doc_id", "before", "gram", "after"]
+        names = ["h", "large", "doc_id", "at", "before", "gram", "after"]
         for b in batches:
             out: list = []
             for d, t, ps in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), b.column("places").to_pylist()):
                 for p in ps:
                     a = p["at"]
-                    out.append((p["h"], p["large"], d, t[max(0, a - margin) : a][::-1], t[a : a + gram], t[a + gram : a + span]))
+                    out.append((p["h"], p["large"], d, a, t[max(0, a - margin) : a][::-1], t[a : a + gram], t[a + gram : a + span]))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=names)
+                cols = list(zip(*out))
+                cols[3] = pa.array(cols[3], pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=names)
 
-    return docs.join(per, "doc_id").mapInArrow(run, "h bigint, large boolean, doc_id bigint, before string, gram string, after string")
+    return docs.join(per, "doc_id").mapInArrow(run, "h bigint, large boolean, doc_id bigint, at int, before string, gram string, after string")
 
 
 def _common(a: list, b: list) -> list:
@@ -153,7 +156,14 @@ def class_pairs(docs: DataFrame, span: int = SPAN, gram: int = GRAM, paired: int
     their representative, so a text that a third of the documents repeat is one text. Grams at up to
     ``paired`` places are compared in pairs; larger groups by exact windows, whole.
     """
-    scratch = scratch or Scratch(docs.sparkSession)
+    ctx, same = _met(docs, span, gram, paired, scratch or Scratch(docs.sparkSession), hot_rows)
+    small = _paired(ctx.where("not large"), span - gram)
+    large = _windowed(ctx.where("large"), span, gram)
+    return small.unionByName(large).distinct(), same
+
+
+def _met(docs: DataFrame, span: int, gram: int, paired: int, scratch: Scratch, hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Contexts of the grams that several texts name, and the copies table."""
     long_docs = _texts(docs, span)
     same = scratch.write(copies(long_docs, scratch, hot_rows), "copies")
     rows = scratch.write(_anchor_rows(long_docs, span, gram), "anchors")
@@ -163,10 +173,7 @@ def class_pairs(docs: DataFrame, span: int = SPAN, gram: int = GRAM, paired: int
     # a gram may stand at several places of a text: all count
     places = lookup(rows.select("h", "doc_id", "at"), shared.drop("n"), "h", hot_keys(shared, "h", "n", hot_rows))
     places = places.join(others, "doc_id", "left_anti").distinct()
-    ctx = scratch.write(_contexts(long_docs, scratch.write(places, "places"), span, gram), "contexts")
-    small = _paired(ctx.where("not large"), span - gram)
-    large = _windowed(ctx.where("large"), span, gram)
-    return small.unionByName(large).distinct(), same
+    return scratch.write(_contexts(long_docs, scratch.write(places, "places"), span, gram), "contexts"), same
 
 
 def stretch_pairs(docs: DataFrame, span: int = SPAN, gram: int = GRAM, paired: int = PAIRED_GROUP, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -186,6 +193,74 @@ def stretch_pairs(docs: DataFrame, span: int = SPAN, gram: int = GRAM, paired: i
     return wide.unionByName(inner)
 
 
+def _paired_ranges(ctx: DataFrame, margin: int) -> DataFrame:
+    """(doc_id, start, end): both sides of each two places of one gram whose common context reaches the span."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            col = lambda n: b.column(n).to_pylist()  # noqa: E731, B023
+            before, after = np.array(_common(col("b1"), col("b2")), np.int32), np.array(_common(col("a1"), col("a2")), np.int32)
+            good = before + after >= margin
+            for d, at in (("d1", "at1"), ("d2", "at2")):
+                p = b.column(at).to_numpy()[good]
+                ends = p + b.column("size").to_numpy()[good] + after[good]
+                yield pa.RecordBatch.from_arrays([b.column(d).filter(pa.array(good)), pa.array(p - before[good], pa.int32()), pa.array(ends, pa.int32())], names=["doc_id", "start", "end"])
+
+    side = lambda n: ctx.select("h", *[F.col(c).alias(f"{a}{n}") for c, a in (("doc_id", "d"), ("at", "at"), ("before", "b"), ("gram", "g"), ("after", "a"))])
+    both = side(1).join(side(2), "h").where("d1 < d2 and g1 = g2").select("d1", "d2", "at1", "at2", "b1", "b2", "a1", "a2", F.length("g1").cast("int").alias("size"))
+    return both.mapInArrow(run, "doc_id bigint, start int, end int")
+
+
+def _windowed_ranges(ctx: DataFrame, span: int, gram: int, scratch: Scratch, hot_rows: int) -> DataFrame:
+    """(doc_id, start, end): windows of large groups that another document has, without forming pairs."""
+    margin = span - gram
+
+    def run(batches):
+        import hashlib
+
+        import pyarrow as pa
+
+        for b in batches:
+            out: list = []
+            for d, at, x, g, y in zip(*[b.column(n).to_pylist() for n in ("doc_id", "at", "before", "gram", "after")]):
+                whole, lead = x[::-1] + g + y, len(x)
+                for s in range(max(0, lead - margin), min(lead, len(whole) - span) + 1):
+                    out.append((hashlib.blake2b(whole[s : s + span].encode("utf-8", "surrogatepass"), digest_size=16).digest(), d, at - lead + s))
+            if out:
+                w, d, s = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array(w, pa.binary()), pa.array(d, pa.int64()), pa.array(s, pa.int32())], names=["window", "doc_id", "start"])
+
+    cut = scratch.write(ctx.mapInArrow(run, "window binary, doc_id bigint, start int"), "windows")
+    again = cut.groupBy("window").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high")
+    again = scratch.write(again.select("window", "n"), "again")
+    got = lookup(cut, again.select("window"), "window", hot_keys(again, "window", "n", hot_rows))
+    return got.select("doc_id", "start", (F.col("start") + F.lit(span)).cast("int").alias("end"))
+
+
+def shared_stretches(docs: DataFrame, span: int = SPAN, gram: int = GRAM, paired: int = PAIRED_GROUP, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(doc_id, start, end): where a text has ``span`` or more consecutive characters in common with other documents.
+
+    Positions count code points from 0. Exact: a character is inside if and only if it lies in a
+    common stretch; stretches that overlap, with whichever documents, are one row. Copies are shared
+    from end to end. No pairs of documents are formed beyond groups of ``paired`` places.
+    """
+    scratch = Scratch(docs.sparkSession)
+    ctx, same = _met(docs, span, gram, paired, scratch, hot_rows)
+    small = _paired_ranges(ctx.where("not large"), span - gram)
+    parts = small.unionByName(_windowed_ranges(ctx.where("large"), span, gram, scratch, hot_rows))
+    parts = parts.groupBy("doc_id", "start").agg(F.max("end").alias("end"))
+    seen = W.partitionBy("doc_id").orderBy("start")
+    parts = parts.withColumn("reach", F.max("end").over(seen.rowsBetween(W.unboundedPreceding, -1)))
+    parts = parts.withColumn("part", F.count_if(F.col("reach").isNull() | (F.col("start") >= F.col("reach"))).over(seen.rowsBetween(W.unboundedPreceding, 0)))
+    merged = parts.groupBy("doc_id", "part").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("part")
+    ids = same.select("doc_id").distinct()
+    whole = _texts(docs, span).join(ids, "doc_id").groupBy("doc_id").agg(F.max(F.length("text")).cast("int").alias("end"))
+    return merged.join(ids, "doc_id", "left_anti").unionByName(whole.select("doc_id", F.lit(0).alias("start"), "end"))
+
+
 # ---- sliding sentence spans -------------------------------------------------------------------
 
 
@@ -219,6 +294,25 @@ def sentence_runs(text: str, min_chars: int, least: int) -> list[tuple[int, int,
     return out
 
 
+def ending_runs(text: str, min_chars: int, least: int) -> list[tuple[int, int, int, int]]:
+    """As ``sentence_runs``, to each sentence the shortest such run.
+
+    Together they cover every longer run: a run's last sentences, which its shortest beginnings may
+    not reach, are in the shortest run that ends with it.
+    """
+    b = sentence_bounds(text)
+    trim = [s + len(text[s:e].rstrip()) for s, e in b]
+    out, i = [], -1
+    for j in range(least - 1, len(b)):
+        while i + 1 <= j - least + 1 and trim[j] - b[i + 1][0] >= min_chars:
+            i += 1
+        while i >= 0 and trim[j] - b[i][0] < min_chars:
+            i -= 1
+        if i >= 0:
+            out.append((i, j - i + 1, b[i][0], trim[j]))
+    return out
+
+
 def _runs(docs: DataFrame, min_chars: int, least: int) -> DataFrame:
     def run(batches):
         import hashlib
@@ -229,7 +323,7 @@ def _runs(docs: DataFrame, min_chars: int, least: int) -> DataFrame:
         for b in batches:
             out: list = []
             for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                for i, _, s, e in sentence_runs(t, min_chars, least):
+                for i, _, s, e in sorted({*sentence_runs(t, min_chars, least), *ending_runs(t, min_chars, least)}):
                     out.append((hashlib.blake2b(t[s:e].encode("utf-8", "surrogatepass"), digest_size=16).digest(), d, i, s, e))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=names)
@@ -262,18 +356,34 @@ def shared_sentences(docs: DataFrame, min_chars: int = SPAN, least: int = 2, hot
     Overlapping runs count once, by merging intervals inside the document. Null and empty texts have 0.
     """
     runs = repeated_runs(docs, min_chars, least, hot_rows)
+    out = _lengths(docs).join(_covered(runs.where("elsewhere"), "shared_chars"), "doc_id", "left")
+    out = out.join(_covered(runs.where("not is_first"), "removable_chars"), "doc_id", "left")
+    return out.select("doc_id", "n_chars", F.coalesce("shared_chars", F.lit(0)).alias("shared_chars"), F.coalesce("removable_chars", F.lit(0)).alias("removable_chars"))
 
-    def covered(which, name: str) -> DataFrame:
-        seen = W.partitionBy("doc_id").orderBy("start", "end").rowsBetween(W.unboundedPreceding, -1)
-        part = runs.where(which).select("doc_id", "start", "end")
-        fresh = F.greatest(F.col("end") - F.greatest(F.col("start"), F.coalesce(F.max("end").over(seen), F.lit(0))), F.lit(0))
-        return part.select("doc_id", fresh.alias("x")).groupBy("doc_id").agg(F.sum("x").alias(name))
 
-    base = docs.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max(F.coalesce(F.length("text"), F.lit(0))).cast("bigint").alias("n_chars"))
-    out = base.join(covered(F.col("elsewhere"), "shared_chars"), "doc_id", "left").join(covered(~F.col("is_first"), "removable_chars"), "doc_id", "left")
+def stretch_shares(docs: DataFrame, span: int = SPAN, gram: int = GRAM, least: int = 2, paired: int = PAIRED_GROUP, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(doc_id, n_chars, shared_chars, removable_chars) for every document with an id.
+
+    shared_chars: characters inside a stretch of ``span`` or more that another document holds too,
+    exactly; removable_chars as in ``shared_sentences``, since only whole sentences are taken out.
+    """
+    found = shared_stretches(docs, span, gram, paired, hot_rows).groupBy("doc_id").agg(F.sum(F.col("end") - F.col("start")).alias("shared_chars"))
+    out = _lengths(docs).join(found, "doc_id", "left")
+    out = out.join(_covered(repeated_runs(docs, span, least, hot_rows).where("not is_first"), "removable_chars"), "doc_id", "left")
     return out.select("doc_id", "n_chars", F.coalesce("shared_chars", F.lit(0)).alias("shared_chars"), F.coalesce("removable_chars", F.lit(0)).alias("removable_chars"))
 
 
+def _covered(runs: DataFrame, name: str) -> DataFrame:
+    """(doc_id, name): characters that the runs of a document cover."""
+    seen = W.partitionBy("doc_id").orderBy("start", "end").rowsBetween(W.unboundedPreceding, -1)
+    fresh = F.greatest(F.col("end") - F.greatest(F.col("start"), F.coalesce(F.max("end").over(seen), F.lit(0))), F.lit(0))
+    return runs.select("doc_id", fresh.alias("x")).groupBy("doc_id").agg(F.sum("x").alias(name))
+
+
+def _lengths(docs: DataFrame) -> DataFrame:
+    return docs.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max(F.coalesce(F.length("text"), F.lit(0))).cast("bigint").alias("n_chars"))
+
+
 def without_repeats(docs: DataFrame, min_chars: int = SPAN, least: int = 2, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(doc_id, text): every document without the sentences that a non-first repeated run covers.
 

@@ -90,3 +90,42 @@ def test_shared_sentence_shares(spark):
     assert clean == {1: a + b + c, 2: d, 3: c + d, 4: None, 5: ""}
     hot = {r.doc_id: (r.n_chars, r.shared_chars, r.removable_chars) for r in S.shared_sentences(docs(spark, rows), min_chars=30, least=2, hot_rows=1).collect()}
     assert hot == got
+
+
+@pytest.mark.parametrize("seed,paired,hot", [(1, 64, 1000), (3, 1, 3)])
+def test_shared_characters_match_brute_force(spark, seed, paired, hot):
+    span = 60
+    rows = corpus(seed, span)
+    holders = {}
+    for d, t in rows:
+        for i in range(len(t or "") - span + 1):
+            if d is not None:
+                holders.setdefault(t[i : i + span], set()).add(d)
+    want = {}
+    for d, t in rows:
+        if d is not None:
+            want[d] = {c for i in range(len(t or "") - span + 1) if len(holders[t[i : i + span]]) > 1 for c in range(i, i + span)}
+    got = {}
+    for r in S.shared_stretches(docs(spark, rows), span=span, gram=40, paired=paired, hot_rows=hot).collect():
+        more = set(range(r.start, r.end))
+        assert len(more) >= span and not more & got.get(r.doc_id, set())
+        got.setdefault(r.doc_id, set()).update(more)
+    assert got == {d: c for d, c in want.items() if c}
+    shares = {r.doc_id: r.shared_chars for r in S.stretch_shares(docs(spark, rows), span=span, gram=40, paired=paired, hot_rows=hot).collect()}
+    assert shares == {d: len(c) for d, c in want.items()}
+
+
+def test_the_end_of_a_run_counts(spark):
+    t = "Alpha beta gamma delta. Epsilon zeta eta theta. Iota."
+    assert S.ending_runs(t, 30, 2) == [(0, 2, 0, 47), (0, 3, 0, 53)] and S.sentence_runs(t, 30, 2) == [(0, 2, 0, 47)]
+    d = docs(spark, [(1, t), (2, t), (3, None)])
+    got = {r.doc_id: r.removable_chars for r in S.shared_sentences(d, min_chars=30, least=2).collect()}
+    assert got == {1: 0, 2: len(t), 3: 0}
+    assert {r.doc_id: r.text for r in S.without_repeats(d, min_chars=30, least=2).collect()} == {1: t, 2: "", 3: None}
+    for seed in range(30):
+        rng = random.Random(seed)
+        x = "".join("w" * rng.randrange(1, 20) + ". " for _ in range(12))
+        b = S.sentence_bounds(x)
+        trim = [s + len(x[s:e].rstrip()) for s, e in b]
+        want = [max((i for i in range(j) if trim[j] - b[i][0] >= 30), default=None) for j in range(len(b))]
+        assert {j: i for j, i in enumerate(want) if i is not None} == {i + n - 1: i for i, n, _, _ in S.ending_runs(x, 30, 2)}
