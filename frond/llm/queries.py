@@ -57,11 +57,19 @@ def p6_targets(spark, d):
     return plans[0].unionByName(plans[1]).select("target_id", "supply", "met")
 
 
+def _samples(spark, d):
+    """(field, plan, sample) of each field."""
+    pairs, items, t = table(spark, d, "raw_pairs"), table(spark, d, "crop_recommendations"), table(spark, d, "sample_targets")
+    for f in ("disease_name", "category"):
+        units = quota.units_of(f, pairs, items)
+        plan = quota.calibrate(units, quota.target_rows(t, f))
+        yield f, plan, quota.pivotal_sample(units, plan)
+
+
 def p6_sample(spark, d):
-    """The sample by disease_name."""
-    units = quota.disease_units(table(spark, d, "raw_pairs"))
-    chances = quota.calibrate(units, quota.target_rows(table(spark, d, "sample_targets"), "disease_name"))
-    return quota.pivotal_sample(units, chances).select(F.col("unit_id").alias("pair_id"), F.col("key").alias("disease_key"))
+    """The samples by disease_name (unit_id is a pair_id) and by category (a rec_id)."""
+    a, b = [s.select(F.lit(f).alias("field_name"), "unit_id", "key") for f, _, s in _samples(spark, d)]
+    return a.unionByName(b)
 
 
 def p7_found(spark, d):
@@ -97,11 +105,13 @@ def p9_stretches(spark, d):
 
 
 def p6_report(spark, d):
-    """Wanted and drawn rows of every disease target, with the gap."""
-    units = quota.disease_units(table(spark, d, "raw_pairs"))
-    plan = quota.calibrate(units, quota.target_rows(table(spark, d, "sample_targets"), "disease_name"))
-    drawn = quota.pivotal_sample(units, plan).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    return plan.join(drawn, "key", "left").select("target_id", "key", "share", "min_rows", "supply", "quota", F.when(F.col("quota") > 0, F.col("n")).otherwise(0).cast("bigint").alias("drawn"), "met", "gap")
+    """Wanted and drawn rows of every target of both fields, with the gap."""
+    out = []
+    for f, plan, sample in _samples(spark, d):
+        drawn = sample.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        n = F.when(F.col("quota") > 0, F.coalesce("n", F.lit(0))).otherwise(0).cast("bigint")
+        out.append(plan.join(drawn, "key", "left").select(F.lit(f).alias("field_name"), "target_id", "key", "share", "min_rows", "supply", "quota", n.alias("drawn"), "met", "gap"))
+    return out[0].unionByName(out[1])
 
 
 def p9_cleaned(spark, d):
