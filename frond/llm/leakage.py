@@ -13,7 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frond.llm.words import words
+from frond.llm.words import forms, words
 from frond.storage import Scratch
 
 WINDOW = 12
@@ -27,6 +27,8 @@ UNITS = frozenset(
 )
 #: Names whose change makes a new question of an old one.
 NAMES = frozenset(
+    "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre "
+    "januar februar märz mai juni juli oktober dezember "
     "january february march april may june july august september october november december "
     "tomato cucumber grape apple squash strawberry capsicum zucchini okra mint almond artichoke cassava celeriac chicory currant endive fennel "
     "fig gourd hazel leek lentil medlar millet parsnip plum quince radish rhubarb sesame sorrel taro turnip".split()
@@ -65,7 +67,7 @@ class Lexicon:
             import xxhash
 
             own = xxhash.xxh3_64_intdigest(w)
-            kind = _NUM if w[0].isdigit() and w.isdigit() else _UNIT if w in self.units else _NAME if w in self.names else 0
+            kind = _NAME if w[0] == "^" else _NUM if w[0].isdigit() and w.replace(".", "").replace(",", "").isdigit() else _UNIT if w in self.units else _NAME if w in self.names else 0
             got = (xxhash.xxh3_64_intdigest(f"\0{kind}") if kind else own, own)
             if len(self.known) >= self.bound:  # forgetting costs time only
                 self.known.clear()
@@ -88,7 +90,7 @@ def rolling(ids, width: int):
     return _mix(h)
 
 
-def item_windows(items: list, width: int, lex: Lexicon) -> list[tuple]:
+def item_windows(items: list, width: int, lex: Lexicon, cut=words) -> list[tuple]:
     """(template, item_id, length, text of the window) of all windows of all items.
 
     Items of fewer words than ``width`` have one window of all their words; items without words or
@@ -98,7 +100,7 @@ def item_windows(items: list, width: int, lex: Lexicon) -> list[tuple]:
 
     out = []
     for item_id, text in items:
-        ws = words(text)
+        ws = cut(text)
         if not ws or item_id is None:
             continue
         k = min(width, len(ws))
@@ -108,27 +110,27 @@ def item_windows(items: list, width: int, lex: Lexicon) -> list[tuple]:
     return out
 
 
-def _item_table(items: DataFrame, width: int, units, names) -> DataFrame:
+def _item_table(items: DataFrame, width: int, units, names, cut) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
         lex = Lexicon(units, names)
         for b in batches:
-            got = item_windows(list(zip(b.column(0).to_pylist(), b.column(1).to_pylist())), width, lex)
+            got = item_windows(list(zip(b.column(0).to_pylist(), b.column(1).to_pylist())), width, lex, cut)
             cols = list(zip(*got)) or [[], [], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.string())], names=["template", "item_id", "length", "item_words"])
 
     return items.select(F.col("item_id").cast("bigint"), "text").mapInArrow(run, "template bigint, item_id bigint, length int, item_words string").distinct()
 
 
-def _hits(group: list, lengths: list[int], seek, lex: Lexicon) -> list[tuple]:
+def _hits(group: list, lengths: list[int], seek, lex: Lexicon, cut=words) -> list[tuple]:
     """Wanted windows of some documents; a window's repeats inside a document count once."""
     import numpy as np
 
     flat: list[str] = []
     ends = []
     for _, t in group:
-        flat.extend(words(t))
+        flat.extend(cut(t))
         ends.append(len(flat))
     known = lex.known
     codes = _mix(np.array([(known.get(w) or lex(w))[0] for w in flat], np.uint64))
@@ -157,7 +159,7 @@ def _hits(group: list, lengths: list[int], seek, lex: Lexicon) -> list[tuple]:
     return out
 
 
-def doc_windows(docs: DataFrame, lengths: list[int], wanted, units=UNITS, names=NAMES) -> DataFrame:
+def doc_windows(docs: DataFrame, lengths: list[int], wanted, units=UNITS, names=NAMES, cut=words) -> DataFrame:
     """(template, doc_id, length, doc_words) of the windows whose template is among ``wanted``.
 
     ``wanted`` is a broadcast of sorted hashes, or None for all windows. Whole texts are read; the
@@ -179,7 +181,7 @@ def doc_windows(docs: DataFrame, lengths: list[int], wanted, units=UNITS, names=
                     group.append((i, t))
                     chars += len(t)
                 if group and (chars >= GROUP_CHARS or (i is None and t is None)):
-                    out = _hits(group, lengths, seek, lex)
+                    out = _hits(group, lengths, seek, lex, cut)
                     if out:
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["template", "doc_id", "length", "doc_words"])
                     group, chars = [], 0
@@ -187,7 +189,7 @@ def doc_windows(docs: DataFrame, lengths: list[int], wanted, units=UNITS, names=
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "template bigint, doc_id bigint, length int, doc_words string")
 
 
-def template_matches(docs: DataFrame, items: DataFrame, width: int = WINDOW, units=UNITS, names=NAMES) -> DataFrame:
+def template_matches(docs: DataFrame, items: DataFrame, width: int = WINDOW, units=UNITS, names=NAMES, cut=words) -> DataFrame:
     """(template, doc_id, item_id, length, doc_words, item_words): joined windows of equal template.
 
     If the items have at most MAX_BROADCAST windows, a number that is counted first, their hashes go
@@ -198,13 +200,13 @@ def template_matches(docs: DataFrame, items: DataFrame, width: int = WINDOW, uni
     import numpy as np
 
     spark: SparkSession = docs.sparkSession
-    mine = Scratch(spark).write(_item_table(items, width, units, names), "items")
+    mine = Scratch(spark).write(_item_table(items, width, units, names, cut), "items")
     lengths = sorted(r[0] for r in mine.select("length").distinct().collect())
     if mine.limit(MAX_BROADCAST + 1).count() > MAX_BROADCAST:
-        return doc_windows(docs, lengths, None, units, names).join(mine, ["template", "length"])
+        return doc_windows(docs, lengths, None, units, names, cut).join(mine, ["template", "length"])
     hashes = mine.select("template").distinct().toArrow().column(0).to_numpy()
     wanted = spark.sparkContext.broadcast(np.sort(hashes))
-    return doc_windows(docs, lengths, wanted, units, names).join(F.broadcast(mine), ["template", "length"])
+    return doc_windows(docs, lengths, wanted, units, names, cut).join(F.broadcast(mine), ["template", "length"])
 
 
 def leaked_pairs(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -219,19 +221,28 @@ def leaked_pairs(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> Data
 
 def slots(text: F.Column, units=UNITS, names=NAMES) -> F.Column:
     """Values of the placeholders of a window, in order."""
-    typed = lambda w: w.rlike("^[0-9]+$") | w.isin(*sorted(units | names))
-    return F.filter(F.split(text, " "), typed)
+    typed = lambda w: w.rlike("^[0-9]+([.,][0-9]+)*$") | w.startswith("^") | w.isin(*sorted(units | names))
+    return F.transform(F.filter(F.split(text, " "), typed), lambda w: F.ltrim(w, F.lit("^")))
 
 
 def leak_kinds(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
     """(doc_id, item_id, same_windows, changed_windows) of documents with an item's template.
 
     Same: all slots equal. Changed: slots differ, but one-to-one: each value of the item always
-    became one value, and no two became the same. Other template matches are not reported.
+    became one value, and no two became the same. Other template matches are not reported. Changed
+    windows are sought in words and in ``forms``, where names are known by their capital, and counted
+    once; same windows are those of the words, as in ``leaked_pairs``.
     """
-    m = template_matches(docs, items, width)
-    m = m.withColumn("z", F.array_distinct(F.arrays_zip(slots(F.col("item_words")).alias("i"), slots(F.col("doc_words")).alias("d"))))
-    z = F.col("z")
-    one = (F.size(F.array_distinct(F.transform(z, lambda p: p["i"]))) == F.size(z)) & (F.size(F.array_distinct(F.transform(z, lambda p: p["d"]))) == F.size(z))
+    names = ("item_words", "doc_words")
+
+    def kinds(cut):
+        m = template_matches(docs, items, width, cut=cut)
+        m = m.withColumn("z", F.array_distinct(F.arrays_zip(slots(F.col("item_words")).alias("i"), slots(F.col("doc_words")).alias("d"))))
+        z = F.col("z")
+        one = (F.size(F.array_distinct(F.transform(z, lambda p: p["i"]))) == F.size(z)) & (F.size(F.array_distinct(F.transform(z, lambda p: p["d"]))) == F.size(z))
+        return m.select("doc_id", "item_id", *[F.replace(F.col(n), F.lit("^"), F.lit("")).alias(n) for n in names], one.alias("one"))
+
     same = F.col("doc_words") == F.col("item_words")
-    return m.where(same | one).groupBy("doc_id", "item_id").agg(F.count_if(same).alias("same_windows"), F.count_if(~same).alias("changed_windows"))
+    plain = kinds(words).where(same | F.col("one"))
+    both = plain.unionByName(kinds(forms).where(~same & F.col("one"))).select("doc_id", "item_id", *names).distinct()
+    return both.groupBy("doc_id", "item_id").agg(F.count_if(same).alias("same_windows"), F.count_if(~same).alias("changed_windows"))

@@ -1,7 +1,7 @@
 import random
 
 from frond.llm import leakage as L
-from frond.llm.words import words
+from frond.llm.words import forms, words
 
 DOCS = "doc_id bigint, text string, item_id int, template string, length string, doc_words int"
 
@@ -72,3 +72,13 @@ def test_changed_slots_must_be_consistent(spark):
 def test_empty(spark):
     assert L.leaked_pairs(docs(spark, []), items(spark, [(1, "a b")])).count() == 0
     assert L.leaked_pairs(docs(spark, [(1, "a b")]), items(spark, [])).count() == 0
+
+
+def test_names_are_known_by_form(spark):
+    its = [(1, "The first choice at Bramotes, ahead of an untreated rootstock and its 2.5 kg of feed in marzo")]
+    ds = [(1, "the first choice at Nini, ahead of an untreated rootstock and its 2.5 kg of feed in marzo"), (2, "the first choice at nothing, ahead of an untreated rootstock and its 2.5 kg of feed in marzo")]
+    ds += [(3, "the first choice at Bramotes, ahead of an untreated rootstock and its 12kg of feed in enero"), (4, its[0][1])]
+    got = {r.doc_id: (r.same_windows, r.changed_windows) for r in L.leak_kinds(docs(spark, ds), items(spark, its)).collect()}
+    assert got[1][1] >= 5 and got[2][1] == 0 and got[3][1] >= 4 and got[4][0] > got[1][0] and got[4][1] == 0
+    assert forms("Leek at Nini. Nini: 12kg, 2.5 Leek") == ["^leek", "at", "^nini", "^nini", "12", "kg", "2.5", "^leek"]
+    assert not any("^" in w for w in forms("Wir fanden die Probe mit der Blüte am Rand und die Rinde bei dem Baum nach drei Tagen im Beet bei Nini."))
