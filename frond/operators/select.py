@@ -101,3 +101,45 @@ def kmeans_diverse(df: DataFrame, group: str, id_col: str, features: list[str],
     scaled = MinMaxScaler(inputCol="_v", outputCol="_s").fit(wide).transform(wide)
     model = KMeans(featuresCol="_s", predictionCol="cluster", k=k, seed=seed).fit(scaled)
     return nearest_to_median(model.transform(scaled).select(id_col, "_q", "cluster"), "cluster", id_col, "_q").select(id_col, "cluster")
+
+
+def kmeans_by_group(df: DataFrame, group: str, id_col: str, features: list[str], quality: str, k: int, seed: int = 42) -> DataFrame:
+    """TOP-10, TOP-11: (group, id, cluster): k rows of each group, by k-means inside it.
+
+    A group of at most k rows is kept whole. In others features are scaled by the group's own range,
+    each of k clusters gives the row nearest its median quality, and what empty clusters leave open
+    is filled with the unused rows of best quality, then smallest id (cluster null for rows not
+    chosen by a cluster). Each larger group is a distributed fit of its own; only the groups and
+    their sizes reach the driver. A null group is a group.
+    """
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import MinMaxScaler, VectorAssembler
+
+    from frond.operators.splits import backfill
+    from frond.operators.stats import nearest_to_median
+    from frond.storage import Scratch
+
+    k = max(0, k)
+    scratch = Scratch(df.sparkSession)
+    clean = [F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)).alias(f"_f{i}") for i, c in enumerate(features)]
+    rows = scratch.write(df.select(group, id_col, F.col(quality).cast("double").alias("_q"), *clean), "rows")
+    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    none = F.lit(None).cast("int").alias("cluster")
+    out = rows.limit(0).select(group, id_col, none)
+    best = [F.nanvl(F.col("_q"), F.lit(None)).desc_nulls_last(), F.col(id_col)]
+    for g, n in sizes.collect() if k else []:
+        part = rows.where(F.col(group).eqNullSafe(F.lit(g)))
+        if n <= k:
+            out = out.unionByName(part.select(group, id_col, none))
+            continue
+        wide = VectorAssembler(inputCols=[f"_f{i}" for i in range(len(features))], outputCol="_v").transform(part)
+        scaled = MinMaxScaler(inputCol="_v", outputCol="_s").fit(wide).transform(wide)
+        if k > 1:  # one cluster is the whole group
+            model = KMeans(featuresCol="_s", predictionCol="cluster", k=k, seed=seed).fit(scaled)
+            chosen = nearest_to_median(model.transform(scaled).select(id_col, "_q", "cluster"), "cluster", id_col, "_q").select(id_col, "cluster")
+        else:
+            chosen = nearest_to_median(part.select(id_col, "_q", F.lit(0).alias("cluster")), "cluster", id_col, "_q").select(id_col, "cluster")
+        chosen = scratch.write(chosen, "chosen")
+        full = scratch.write(backfill(chosen, part.withColumn("cluster", none), id_col, k, best), "group")
+        out = out.unionByName(full.select(F.lit(g).cast(rows.schema[group].dataType).alias(group), id_col, "cluster"))
+    return out

@@ -677,7 +677,7 @@ def top09_farthest_point(spark, d):
 @query()
 def top10_kmeans(spark, d):
     a = audits(spark, d)
-    return sel.kmeans_diverse(a, "split", "audit_id", ["width", "height", "mask_coverage_pct"], "file_size", 12)
+    return sel.kmeans_by_group(a, "split", "audit_id", ["width", "height", "mask_coverage_pct"], "file_size", 12)
 
 
 # ---- projections and scalar functions ---------------------------------------------------------

@@ -184,3 +184,17 @@ def test_selections(spark):
     assert S.greedy_distinct(df.limit(0), "g", "id", "fp", "q", 3).count() == 0
     km = S.kmeans_diverse(df, "g", "id", ["fp", "q"], "q", 5)
     assert 1 <= km.count() <= 5
+
+
+def test_kmeans_in_each_group(spark):
+    rng = random.Random(7)
+    rows = [("a", i, rng.random(), rng.random()) for i in range(60)] + [("b", 100 + i, rng.random(), None) for i in range(4)] + [("c", 200 + i, 1.0, float(i)) for i in range(30)] + [(None, 300 + i, float(i % 9), 0.5) for i in range(20)]
+    df = spark.createDataFrame(rows, "g string, id bigint, x double, q double")
+    got = S.kmeans_by_group(df, "g", "id", ["x", "q"], "q", 5).collect()
+    by = {g: sorted(r.id for r in got if r.g == g) for g in ("a", "b", "c", None)}
+    assert {g: len(set(v)) for g, v in by.items()} == {"a": 5, "b": 4, "c": 5, None: 5} and len(got) == 19
+    assert all((r[0], r[1]) in {(x[0], x[1]) for x in rows} for r in got)
+    # all rows coincide: one cluster, the rest filled by quality
+    same = S.kmeans_by_group(df.where("g = 'c'"), "g", "id", ["x"], "q", 5).collect()
+    assert len(same) == 5 and {229, 228, 227, 226} <= {r.id for r in same} and sum(r.cluster is None for r in same) == 4
+    assert S.kmeans_by_group(df, "g", "id", ["x"], "q", 1).count() == 4 and S.kmeans_by_group(df, "g", "id", ["x"], "q", 0).count() == 0
