@@ -61,3 +61,20 @@ def bucketed_rank(df: DataFrame, keys: list[str], order: Column, tie: Column, ou
     place = W.partitionBy(*keys, b).orderBy(at, tie)
     ranked = cut.join(right, same).withColumn(out, F.row_number().over(place) + F.col(before))
     return ranked.drop(b, before, at, "_kb", *names.values())
+
+
+def pair_join(left: DataFrame, right: DataFrame, key: str, spread: Column, hot: list, parts: int = 64) -> DataFrame:
+    """Equi-join in which a key may own many rows on both sides.
+
+    Rows of hot keys are dealt over ``parts`` tasks on the left, by ``spread`` (a column of the left
+    rows), and repeated for each of them on the right, so that no task meets more than a share of a
+    hot key's pairs. Other keys are joined as usual; null keys match nothing.
+    """
+    if not hot:
+        return left.join(right, key)
+    is_hot = F.col(key).isin(hot)
+    part = F.pmod(F.xxhash64(spread), F.lit(parts)).cast("int")
+    all_parts = F.sequence(F.lit(0), F.lit(parts - 1))
+    a = left.withColumn("_part", F.when(is_hot, part).otherwise(0))
+    b = right.withColumn("_part", F.explode(F.when(is_hot, all_parts).otherwise(F.array(F.lit(0)))))
+    return a.join(b, [key, "_part"]).drop("_part")

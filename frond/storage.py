@@ -95,10 +95,23 @@ class Scratch:
             _delete(self.spark, at)
 
     def close(self) -> None:
+        """Delete all tables of this call; what was returned and still reads them can no longer run."""
         _delete(self.spark, self.root)
         _LEFTOVER.pop(self.root, None)
 
 
+def release(spark: SparkSession) -> int:
+    """Delete the tables of all calls so far, for a driver that lives long; returns how many calls.
+
+    To be called once the DataFrames that operators returned have been consumed.
+    """
+    roots = [r for r, s in _LEFTOVER.items() if s is spark]
+    for root in roots:
+        _delete(spark, root)
+        _LEFTOVER.pop(root, None)
+    return len(roots)
+
+
 @atexit.register
 def _sweep() -> None:
     for root, spark in list(_LEFTOVER.items()):
