@@ -62,24 +62,67 @@ def test_join_is_exact_for_other_bounds(spark):
     assert all(abs(r.cosine - (1 - 2 * ((r.fp_left ^ r.fp_right) & ((1 << 64) - 1)).bit_count() / 64)) < 1e-12 for r in O.fingerprint_join(df, df, 1).collect())
 
 
-def test_block_choice(spark):
-    assert [O.choose_blocks(n, n, 5) for n in (10, 10**5, 10**6, 10**9)] == sorted(O.choose_blocks(n, n, 5) for n in (10, 10**5, 10**6, 10**9))
+def test_choice_of_lists_changes_nothing(spark):
+    assert [O.choose_lists(n, n, 5)[0] for n in (10, 10**5, 10**6, 10**9)] == sorted(O.choose_lists(n, n, 5)[0] for n in (10, 10**5, 10**6, 10**9))
     rng = random.Random(7)
     vals = [rng.getrandbits(12) << 20 for _ in range(80)]
     df = spark.createDataFrame([(v,) for v in set(vals)], "fp bigint")
-    sets = [{(r[0], r[1]) for r in O.fingerprint_join(df, df, 3, b).collect()} for b in (4, 5, 6, 9)]
+    sets = [{(r[0], r[1]) for r in O.fingerprint_join(df, df, 3, c, h).collect()} for c, h in (((4, 1), 5), ((5, 1), 10**6), ((6, 2), 5), ((9, 5), 5), ((9, 6), 10**6))]
     assert all(s == sets[0] for s in sets) and len(sets[0]) > len(df.collect())
 
 
-def test_bad_parameters():
+def test_bad_parameters(spark):
+    df = spark.createDataFrame([], "fp bigint")
     with pytest.raises(ValueError):
-        O.list_masks(5, 5)
+        O.fingerprint_join(df, df, 5, (5, 1))
+    with pytest.raises(ValueError):
+        O.cosine_join(df, df, 0.0)
+
+
+def vectors(rng, n, terms):
+    return {i: {t: rng.choice([0.2, 1.0, 3.0, -1.0]) for t in rng.sample(range(terms), rng.randrange(0, 8))} for i in range(n)}
+
+
+def brute_cosine(x, y, t):
+    import math
+
+    norm = lambda v: math.sqrt(sum(w * w for w in v.values()))
+    out = {}
+    for i, a in x.items():
+        for j, b in y.items():
+            c = sum(w * b.get(k, 0.0) for k, w in a.items())
+            if a and b and c / (norm(a) * norm(b)) >= t - 1e-9:
+                out[i, j] = c / (norm(a) * norm(b))
+    return out
+
+
+@pytest.mark.parametrize("t", [0.1, 0.5, 0.8, 1.0])
+def test_weighted_cosine_matches_brute_force(spark, t):
+    rng = random.Random(int(t * 10))
+    x, y = vectors(rng, 60, 25), vectors(rng, 50, 30)
+    y[50] = dict(x[3])
+    rows = lambda d: spark.createDataFrame([(i, f"t{k}", w, "extra") for i, v in d.items() for k, w in v.items()] + [(None, "t1", 1.0, ""), (1, None, 1.0, "")], "id bigint, term string, weight double, n string")
+    want = brute_cosine(x, y, t)
+    for hot in (3, 10**6):
+        got = {(r.id_left, r.id_right): r.cosine for r in O.cosine_join(rows(x), rows(y), t, hot).collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    e = spark.createDataFrame([], "id bigint, term string, weight double")
+    assert O.cosine_join(e, rows(y).select("id", "term", "weight"), t).count() == 0
+
+
+def test_residual_is_not_listed(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([([(1, 0.6, 0.9), (2, 0.6, 0.9), (3, 0.4, 0.9), (4, 0.3, 0.1)],)], "v array<struct<term: int, weight: double, most: double>>")
+    n = lambda least: df.select(O.listed(F.col("v"), F.lit(least), F.lit(1.0))).first()[0]
+    # by weights times greatest weights the last holds 0.03 and the last two 0.39; by norm the last two hold 0.5
+    assert [n(x) for x in (0.02, 0.1, 0.38, 0.45, 0.9)] == [4, 3, 3, 2, 1]
 
 
 def test_one_fingerprint_of_many_and_report(spark):
     rows = [(i, "new", "train", None, "ff") for i in range(40)] + [(100 + i, "new", "val", "x", "fe") for i in range(3)] + [(200, None, "test", "y", None)]
     df = table(spark, rows)
-    assert O.image_pairs(df).count() == 120
+    assert O.image_pairs(df).count() == 120 and O.image_pairs(df, hot_rows=2).distinct().count() == 120
     rep = {(r.split, r.source): (r.images, r.same_hash, r.near, r.leaked) for r in O.overlap_report(df).collect()}
     assert rep == {("val", "new"): (3, 0, 3, 3), ("test", ""): (1, 0, 0, 0)}
 
