@@ -206,6 +206,17 @@ def class_overlaps(p: DataFrame, max_bits: int = 5) -> DataFrame:
     return fingerprint_join(side(F.col("split") == "train"), side(F.col("split") != "train"), max_bits)
 
 
+def _hot_of(rows: int, hot_rows: int):
+    """Finds the hot keys of a column; a table of at most ``hot_rows`` rows can have none."""
+
+    def of(df: DataFrame, c: str) -> list:
+        if rows <= hot_rows:
+            return []
+        return hot_keys(df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n")), c, "n", hot_rows)
+
+    return of
+
+
 def image_pairs(images: DataFrame, max_bits: int = 5, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(image_id_a, image_id_b), a < b: one in train, the other in val or test, same hash or near.
 
@@ -217,12 +228,12 @@ def image_pairs(images: DataFrame, max_bits: int = 5, hot_rows: int = HOT_ROWS)
     train, held = p.where(F.col("split") == "train"), p.where(F.col("split") != "train")
     t = train.select(F.col("image_id").alias("t"), F.col("hash").alias("th"), F.col("fp").alias("fp_left"))
     h = held.select(F.col("image_id").alias("h"), F.col("hash").alias("hh"), F.col("fp").alias("fp_right"))
-    hot = lambda df, c: hot_keys(df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n")), c, "n", hot_rows)
+    hot = _hot_of(p.count(), hot_rows)
     # a hash is a vector of one term: its list is the join
     same = pair_join(t.withColumnRenamed("th", "hash"), h.withColumnRenamed("hh", "hash"), "hash", F.col("t"), hot(t, "th")).select("t", "h")
     near = Scratch(images.sparkSession).write(class_overlaps(p, max_bits), "near")
     near = pair_join(t, near, "fp_left", F.col("t"), hot(t, "fp_left"))
-    near = pair_join(near, h, "fp_right", F.col("t"), hot(near, "fp_right") if hot(h, "fp_right") else [])
+    near = pair_join(near, h, "fp_right", F.col("t"), hot(h, "fp_right"))
     near = near.where(~F.coalesce(F.col("th") == F.col("hh"), F.lit(False))).select("t", "h")
     both = same.unionByName(near)
     return both.select(F.least("t", "h").alias("image_id_a"), F.greatest("t", "h").alias("image_id_b")).where("image_id_a < image_id_b").distinct()
@@ -241,8 +252,8 @@ def overlap_report(images: DataFrame, max_bits: int = 5, hot_rows: int = HOT_ROW
     # counted by (split, source, hash, fp) first: copies shrink before the joins on hash and fp
     held = held.groupBy("split", "source", "hash", "fp").agg(F.count(F.lit(1)).alias("n"))
     held = Scratch(images.sparkSession).write(held, "held")
-    hot = lambda c: hot_keys(held.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n")), c, "n", hot_rows)
-    held = lookup(lookup(held, hashes, "hash", hot("hash"), "left"), fps, "fp", hot("fp"), "left")
+    hot = _hot_of(held.count(), hot_rows)
+    held = lookup(lookup(held, hashes, "hash", hot(held, "hash"), "left"), fps, "fp", hot(held, "fp"), "left")
     n = lambda c: F.sum(F.when(c, F.col("n")).otherwise(F.lit(0)))
     s, c = F.coalesce("same", F.lit(False)), F.coalesce("close", F.lit(False))
     return held.groupBy("split", "source").agg(F.sum("n").alias("images"), n(s).alias("same_hash"), n(c).alias("near"), n(s | c).alias("leaked"))
