@@ -222,6 +222,14 @@ ORACLES = {
       with {_USABLE},
       ranked as (select *, row_number() over (partition by long_side, short_side, coverage_band order by {_UNIT.format(c='audit_id')}, audit_id) as cell_rank from usable)
       select audit_id, long_side, short_side, coverage_band, cell_rank from ranked order by cell_rank, long_side, short_side, coverage_band limit {SUBSET}""",
+    "p5_varied": f"""
+      with {_USABLE},
+      fine as (select *, floor(log2(long_side) * 8)::int as lf, floor(log2(short_side) * 8)::int as sf from usable),
+      grids as (select j, count(*) as n from (select distinct j, lf // (1 << j) as l, sf // (1 << j) as s, coverage_band from fine, (select unnest(range(0, 9))::int as j)) group by j),
+      binned as (select *, lf // (1 << j) as long_bin, sf // (1 << j) as short_bin from fine, (select coalesce(min(j) filter (where n < {SUBSET}), 8) as j from grids)),
+      ranked as (select *, row_number() over (partition by long_bin, short_bin, coverage_band order by {_UNIT.format(c='audit_id')}, audit_id) as cell_rank from binned)
+      select audit_id, long_side, short_side, coverage_band, long_bin::int as long_bin, short_bin::int as short_bin, cell_rank from ranked
+      order by cell_rank, sha256('7:' || long_bin || ':' || short_bin || ':' || coverage_band), long_bin, short_bin, coverage_band limit {SUBSET}""",
     "p6_found": f"with {_SUPPLY} select target_id from targets where supply < wish or supply < least",
     "p6_targets": f"with {_SUPPLY} select target_id, supply, not (supply < wish or supply < least) as met from targets",
     "p7_found": f"with {_LEAKS} select distinct doc_id, item_id from ig join dg using (n, g)",
