@@ -2,8 +2,8 @@
 
 Every word becomes itself or a typed placeholder (number, unit, name). Windows of equal template are
 joined by hash. What the placeholders stand for, the slots, then decides: a window is the same
-passage if all slots are equal, and a re-parameterised one if equal slots of the item stay equal in
-the document (a consistent renaming).
+passage if all slots are equal, and a re-parameterised one if the slots of all windows of the
+document and the item are a one-to-one renaming.
 """
 
 from __future__ import annotations
@@ -14,25 +14,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frond.llm.words import forms, words
+from frond.operators.skew import HOT_ROWS, hot_keys, pair_join
 from frond.storage import Scratch
 
 WINDOW = 12
 #: Item windows that may travel to every task, some 150 bytes each; more go by a shuffle join.
 MAX_BROADCAST = 250_000
 
-#: Units of measure and time.
+#: Units of measure and time in English, Spanish and German, and signs of the international system.
 UNITS = frozenset(
-    "mm cm m km ha acre acres hectare hectares g gram grams gramo gramos gramm kg kilo kilos mg t tonne tonnes l ml litre litres litro litros liter "
-    "percent prozent ciento ppm c day days dia dias tag tagen tage week weeks hour hours minute minutes px pixel pixels".split()
+    "mm cm dm m km in ft ha a acre acres hectare hectares hectarea hectareas hektar mg g gram grams gramo gramos gramm kg kilo kilos t tonne tonnes tonelada toneladas tonnen ml cl l "
+    "litre litres liter liters litro litros percent prozent ciento ppm c f k w v s sec min h second seconds segundo segundos sekunde sekunden minute minutes minuto minutos minuten "
+    "hour hours hora horas stunde stunden day days dia dias tag tage tagen week weeks semana semanas woche wochen month months mes meses monat monate year years jahr jahre px pixel pixels".split()
 )
-#: Names whose change makes a new question of an old one.
+#: The months in English, Spanish and German. Other names come from a table, or by their form.
 NAMES = frozenset(
-    "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre "
-    "januar februar märz mai juni juli oktober dezember "
-    "january february march april may june july august september october november december "
-    "tomato cucumber grape apple squash strawberry capsicum zucchini okra mint almond artichoke cassava celeriac chicory currant endive fennel "
-    "fig gourd hazel leek lentil medlar millet parsnip plum quince radish rhubarb sesame sorrel taro turnip".split()
+    "january february march april may june july august september october november december enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre "
+    "januar februar märz mai juni juli oktober dezember".split()
 )
+#: Names that a table may hold, as they travel to every task; more are refused.
+MAX_NAMES = 100_000
+#: Bits of the filter for more item windows than travel as they are: 32 MB.
+FILTER_BITS = 1 << 28
 
 #: Characters whose words are held at once.
 GROUP_CHARS = 1 << 22
@@ -141,14 +144,7 @@ def _hits(group: list, lengths: list[int], seek, lex: Lexicon, cut=words) -> lis
         h = rolling(codes, k).view(np.int64)
         if not len(h):
             continue
-        if seek is None:
-            hit = np.arange(len(h))
-        elif len(seek):
-            at = np.searchsorted(seek, h)
-            at[at == len(seek)] = 0
-            hit = np.flatnonzero(seek[at] == h)
-        else:
-            continue
+        hit = np.flatnonzero(seek(h))
         doc = np.searchsorted(last, hit, side="right")
         inside = hit + k <= last[doc]
         for p, d in zip(hit[inside].tolist(), doc[inside].tolist()):
@@ -159,18 +155,65 @@ def _hits(group: list, lengths: list[int], seek, lex: Lexicon, cut=words) -> lis
     return out
 
 
+class Sorted:
+    """Membership in a sorted array of hashes."""
+
+    def __init__(self, hashes):
+        self.hashes = hashes
+
+    def __call__(self, h):
+        import numpy as np
+
+        if not len(self.hashes):
+            return np.zeros(len(h), bool)
+        at = np.searchsorted(self.hashes, h)
+        at[at == len(self.hashes)] = 0
+        return self.hashes[at] == h
+
+
+class Filter:
+    """A Bloom filter of two places for each hash: says yes to all members and to a few others."""
+
+    def __init__(self, words, bits: int):
+        self.words, self.bits = words, bits
+
+    def __call__(self, h):
+        import numpy as np
+
+        u = h.view(np.uint64)
+        ok = np.ones(len(u), bool)
+        for shift in (0, 32):
+            p = (u >> np.uint64(shift)) & np.uint64(self.bits - 1)
+            ok &= (self.words[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1) == 1
+        return ok
+
+
+def bloom(hashes: DataFrame, n: int, most: int = FILTER_BITS) -> Filter:
+    """The filter of column ``template``: bits are set by an aggregate, at most ``most`` of them.
+
+    About 16 bits for each of ``n`` members, where one window in fifty passes for nothing.
+    """
+    import numpy as np
+
+    bits = min(most, 1 << max(16, (16 * max(1, n) - 1).bit_length()))
+    place = F.explode(F.array(*[F.shiftrightunsigned("template", s).bitwiseAND(F.lit(bits - 1)) for s in (0, 32)])).alias("p")
+    set_bits = hashes.select(place).groupBy(F.shiftrightunsigned("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("b")).toArrow()
+    words = np.zeros(bits >> 6, np.uint64)
+    words[set_bits.column("w").to_numpy()] = set_bits.column("b").to_numpy().view(np.uint64)
+    return Filter(words, bits)
+
+
 def doc_windows(docs: DataFrame, lengths: list[int], wanted, units=UNITS, names=NAMES, cut=words) -> DataFrame:
     """(template, doc_id, length, doc_words) of the windows whose template is among ``wanted``.
 
-    ``wanted`` is a broadcast of sorted hashes, or None for all windows. Whole texts are read; the
-    words of documents of together some GROUP_CHARS characters are hashed as one array.
+    ``wanted`` is a broadcast of a test for hashes. Whole texts are read; the words of documents of together some GROUP_CHARS characters are hashed as one array.
     """
 
     def run(batches):
         import pyarrow as pa
 
         lex = Lexicon(units, names)
-        seek = None if wanted is None else wanted.value
+        seek = wanted.value
         kinds = (pa.int64(), pa.int64(), pa.int32(), pa.string())
         for b in batches:
             group: list = []
@@ -189,24 +232,31 @@ def doc_windows(docs: DataFrame, lengths: list[int], wanted, units=UNITS, names=
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "template bigint, doc_id bigint, length int, doc_words string")
 
 
-def template_matches(docs: DataFrame, items: DataFrame, width: int = WINDOW, units=UNITS, names=NAMES, cut=words) -> DataFrame:
+def template_matches(docs: DataFrame, items: DataFrame, width: int = WINDOW, units=UNITS, names=NAMES, cut=words, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(template, doc_id, item_id, length, doc_words, item_words): joined windows of equal template.
 
     If the items have at most MAX_BROADCAST windows, a number that is counted first, their hashes go
     to every task, windows of the corpus that match none never leave it, and the item windows are
     the broadcast side of the hash join, so a passage in a third of all documents makes no large
-    task. Beyond that, all windows are shuffled and joined by hash of the template.
+    task. Beyond that a filter of bounded size takes the place of the hashes, the windows that pass
+    are written, and both sides are shuffled by template, hot templates being dealt over many tasks.
     """
     import numpy as np
 
     spark: SparkSession = docs.sparkSession
-    mine = Scratch(spark).write(_item_table(items, width, units, names, cut), "items")
+    scratch = Scratch(spark)
+    mine = scratch.write(_item_table(items, width, units, names, cut), "items")
     lengths = sorted(r[0] for r in mine.select("length").distinct().collect())
-    if mine.limit(MAX_BROADCAST + 1).count() > MAX_BROADCAST:
-        return doc_windows(docs, lengths, None, units, names, cut).join(mine, ["template", "length"])
-    hashes = mine.select("template").distinct().toArrow().column(0).to_numpy()
-    wanted = spark.sparkContext.broadcast(np.sort(hashes))
-    return doc_windows(docs, lengths, wanted, units, names, cut).join(F.broadcast(mine), ["template", "length"])
+    n = mine.count()
+    if n <= MAX_BROADCAST:
+        hashes = mine.select("template").distinct().toArrow().column(0).to_numpy()
+        wanted = spark.sparkContext.broadcast(Sorted(np.sort(hashes)))
+        return doc_windows(docs, lengths, wanted, units, names, cut).join(F.broadcast(mine), ["template", "length"])
+    wanted = spark.sparkContext.broadcast(bloom(mine.select("template"), n))
+    found = scratch.write(doc_windows(docs, lengths, wanted, units, names, cut), "windows")
+    hot = hot_keys(found.groupBy("template").agg(F.count(F.lit(1)).alias("n")), "template", "n", hot_rows)
+    theirs = mine.withColumnRenamed("length", "_length")
+    return pair_join(found, theirs, "template", F.col("doc_id"), hot).where("length = _length").drop("_length")
 
 
 def leaked_pairs(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -219,30 +269,49 @@ def leaked_pairs(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> Data
     return same.select("doc_id", "item_id").distinct()
 
 
+def listed_names(df: DataFrame, column: str) -> frozenset:
+    """The different names in a column, as a lexicon's names: lower-cased, one word each.
+
+    For a dimension such as the crops of a corpus. More than MAX_NAMES are refused, since they go to
+    every task; nulls and names of several words are left out.
+    """
+    one = F.lower(F.trim(F.col(column)))
+    got = df.select(one.alias("n")).where(F.col("n").rlike(r"^\p{L}+$")).distinct().limit(MAX_NAMES + 1).collect()
+    if len(got) > MAX_NAMES:
+        raise ValueError(f"more than {MAX_NAMES} names")
+    return frozenset(r.n for r in got)
+
+
 def slots(text: F.Column, units=UNITS, names=NAMES) -> F.Column:
     """Values of the placeholders of a window, in order."""
-    typed = lambda w: w.rlike("^[0-9]+([.,][0-9]+)*$") | w.startswith("^") | w.isin(*sorted(units | names))
+    typed = lambda w: w.rlike("^[0-9]+([.,][0-9]+)*$") | w.startswith("^") | w.isin(*sorted(frozenset(units) | frozenset(names)))
     return F.transform(F.filter(F.split(text, " "), typed), lambda w: F.ltrim(w, F.lit("^")))
 
 
-def leak_kinds(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
+def leak_kinds(docs: DataFrame, items: DataFrame, width: int = WINDOW, units=UNITS, names=NAMES) -> DataFrame:
     """(doc_id, item_id, same_windows, changed_windows) of documents with an item's template.
 
-    Same: all slots equal. Changed: slots differ, but one-to-one: each value of the item always
-    became one value, and no two became the same. Other template matches are not reported. Changed
-    windows are sought in words and in ``forms``, where names are known by their capital, and counted
-    once; same windows are those of the words, as in ``leaked_pairs``.
+    Same: all slots equal. Changed: slots differ, but over all windows of the document that have a
+    template of the item each value of the item became one value, and no two became the same; a
+    pair without such a one-to-one renaming has no changed windows. Pairs with neither are not
+    reported. Changed windows are sought in words and in ``forms``, where names are known by their
+    capital, each with a renaming of its own, and counted once; same windows are those of the words,
+    as in ``leaked_pairs``. ``names`` are those besides the ones known by form, see ``listed_names``.
     """
-    names = ("item_words", "doc_words")
-
-    def kinds(cut):
-        m = template_matches(docs, items, width, cut=cut)
-        m = m.withColumn("z", F.array_distinct(F.arrays_zip(slots(F.col("item_words")).alias("i"), slots(F.col("doc_words")).alias("d"))))
-        z = F.col("z")
-        one = (F.size(F.array_distinct(F.transform(z, lambda p: p["i"]))) == F.size(z)) & (F.size(F.array_distinct(F.transform(z, lambda p: p["d"]))) == F.size(z))
-        return m.select("doc_id", "item_id", *[F.replace(F.col(n), F.lit("^"), F.lit("")).alias(n) for n in names], one.alias("one"))
+    cols = ("item_words", "doc_words")
+    scratch = Scratch(docs.sparkSession)
+
+    def kinds(cut, tag: str) -> DataFrame:
+        m = template_matches(docs, items, width, units, names, cut)
+        z = F.array_distinct(F.arrays_zip(*[slots(F.col(c), units, names).alias(n) for c, n in zip(cols, "id")]))
+        m = scratch.write(m.select("doc_id", "item_id", *cols, z.alias("z")), tag)
+        became = m.select("doc_id", "item_id", F.explode("z").alias("s")).select("doc_id", "item_id", "s.i", "s.d").distinct()
+        per = became.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("i").alias("ni"), F.count_distinct("d").alias("nd"))
+        torn = per.where("n <> ni or n <> nd").select("doc_id", "item_id", F.lit(True).alias("torn"))
+        out = m.join(torn, ["doc_id", "item_id"], "left")
+        return out.select("doc_id", "item_id", *[F.replace(F.col(c), F.lit("^"), F.lit("")).alias(c) for c in cols], F.col("torn").isNull().alias("one"))
 
     same = F.col("doc_words") == F.col("item_words")
-    plain = kinds(words).where(same | F.col("one"))
-    both = plain.unionByName(kinds(forms).where(~same & F.col("one"))).select("doc_id", "item_id", *names).distinct()
+    plain = kinds(words, "words").where(same | F.col("one"))
+    both = plain.unionByName(kinds(forms, "forms").where(~same & F.col("one"))).select("doc_id", "item_id", *cols).distinct()
     return both.groupBy("doc_id", "item_id").agg(F.count_if(same).alias("same_windows"), F.count_if(~same).alias("changed_windows"))

@@ -60,13 +60,34 @@ def test_shuffle_path_gives_the_same(spark, monkeypatch):
     assert {tuple(r) for r in L.leaked_pairs(docs(spark, ds), items(spark, its)).collect()} == want == {(1, 1), (1, 2), (3, 2)}
 
 
+def test_many_items_go_by_filter(spark):
+    rng = random.Random(2)
+    vocab = [f"w{i}" for i in range(5000)]
+    its = [(i, " ".join(rng.choices(vocab, k=10_100))) for i in range(26)]  # 262,314 windows
+    hot = " ".join(words(its[3][1])[500:520])
+    ds = [(i, " ".join(rng.choices(vocab, k=50)) + (" " + hot if i < 60 else "")) for i in range(80)]
+    ds += [(100 + i, " ".join(words(its[i][1])[7 * i : 7 * i + (12 if i % 2 else 11)])) for i in range(26)]
+    want = {(i, 3) for i in range(60)} | {(100 + i, i) for i in range(26) if i % 2}
+    assert {tuple(r) for r in L.leaked_pairs(docs(spark, ds), items(spark, its)).collect()} == want
+    m = L.template_matches(docs(spark, ds), items(spark, its), hot_rows=5).where("doc_words = item_words")
+    assert {(r.doc_id, r.item_id) for r in m.select("doc_id", "item_id").distinct().collect()} == want
+
+
 def test_changed_slots_must_be_consistent(spark):
-    its = [(1, "mix 5 kg of leek and 5 kg of fig then wait 3 days for rain")]
+    its = [(1, "mix 5 kg of leek and 5 kg of fig then wait 3 days for rain"), (2, "rows of 4 m and beds of 4 m were seen on the north side of that hill, rows of 4 m and beds of 6 m on the south side of it")]
     ds = [(1, "Mix 8 kg of leek and 8 kg of taro then wait 3 days for rain"), (2, "mix 8 kg of leek and 9 kg of fig then wait 3 days for rain"), (3, its[0][1]), (4, "mix 5 kg of leek and 5 kg of moss then wait 3 days for rain")]
-    got = {r.doc_id: (r.same_windows, r.changed_windows) for r in L.leak_kinds(docs(spark, ds), items(spark, its)).collect()}
-    assert got[3][0] == 5 and got[1][0] == 0 and got[1][1] == 5
-    assert 4 not in got or got[4][1] == 0
-    assert got.get(2, (0, 0))[1] < 5
+    # one renaming inside each window, but 4 becomes 7 in some and 9 in others
+    ds += [(5, its[1][1].replace("4", "7")), (6, "rows of 7 m and beds of 7 m were seen on the north side of that hill, rows of 9 m and beds of 6 m on the south side of it")]
+    crops = L.NAMES | {"leek", "fig", "taro"}
+    got = {(r.doc_id, r.item_id): (r.same_windows, r.changed_windows) for r in L.leak_kinds(docs(spark, ds), items(spark, its), names=crops).collect()}
+    assert got[3, 1][0] == 5 and got[1, 1] == (0, 5)
+    assert (2, 1) not in got and ((4, 1) not in got or got[4, 1][1] == 0)
+    assert got[5, 2][1] > 0 and got[5, 2][1] > got.get((6, 2), (0, 0))[1] == 0
+
+
+def test_names_of_a_table(spark):
+    df = spark.createDataFrame([(" Leek",), ("leek",), ("bell pepper",), (None,), ("",), ("Ñora",), ("x1",)], "crop string")
+    assert L.listed_names(df, "crop") == {"leek", "ñora"}
 
 
 def test_empty(spark):
