@@ -73,12 +73,6 @@ def capacities(counts: DataFrame, targets: DataFrame) -> DataFrame:
     return got.withColumn("wanted", wanted).withColumn("reachable", ~(F.col("max_repeats") * F.col("tokens") < wanted))
 
 
-def short_sources(docs: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """(source): targets whose documents, repeated as often as allowed, are fewer tokens than wanted."""
-    counts = Scratch(docs.sparkSession).write(length_counts(token_lengths(docs, tokenizer)), "counts")
-    return capacities(counts, targets).where(~F.col("reachable")).select("source")
-
-
 def bounded_knapsack(lengths: list[int], counts: list[int], budget: int) -> list[int]:
     """How many of each length to take so that their sum is the largest one within ``budget``.
 
@@ -178,26 +172,49 @@ def quotas(counts: DataFrame, targets: DataFrame, total_tokens: int | None, seed
     return rows.groupBy("source").applyInPandas(run, QUOTA)
 
 
-def mixed(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 7, tokenizer: str = TOKENIZER, window: int = DP_WINDOW) -> DataFrame:
-    """(doc_id, source, n_tokens, uses): documents of the mix and how often each is used, at least 1.
+def short_sources(docs: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER, seed: int = 7) -> DataFrame:
+    """(source): targets that the budget fitting leaves open with every document used as often as allowed.
 
-    ``total_tokens`` is the size of the mix, by default the tokens of all documents. Documents of a
-    length are chosen by a seeded hash. Sources without a target, and null ones, give nothing.
+    A source without documents is short if it wants anything. What is left open is then checked
+    exactly: the repeated tokens of the source are fewer than wanted.
     """
+    counts = Scratch(docs.sparkSession).write(length_counts(token_lengths(docs, tokenizer)), "counts")
+    fit = quotas(counts, targets, None, seed).groupBy("source").agg(F.max("passes").alias("passes"))
+    got = capacities(counts, targets).join(fit, "source", "left")
+    spent = F.coalesce(F.col("passes") >= F.col("max_repeats"), F.lit(True)) | (F.col("tokens") == 0)
+    return got.where(spent & ~F.col("reachable")).select("source")
+
+
+def _mixed(docs: DataFrame, targets: DataFrame, total_tokens: int | None, seed: int, tokenizer: str, window: int) -> tuple[DataFrame, DataFrame]:
     scratch = Scratch(docs.sparkSession)
     lengths = scratch.write(token_lengths(docs, tokenizer), "lengths")
-    q = scratch.write(quotas(length_counts(lengths), targets, total_tokens, seed, window), "quotas")
+    counts = scratch.write(length_counts(lengths), "counts")
+    q = scratch.write(quotas(counts, targets, total_tokens, seed, window), "quotas")
     ranked = bucketed_rank(lengths.where(F.col("source").isNotNull()), ["source", "n_tokens"], unit_hash(seed, F.col("doc_id")), F.col("doc_id"), "_rank", buckets=64)
     uses = (F.col("passes") + F.when(F.col("_rank") <= F.col("once_more"), 1).otherwise(0)).cast("int")
-    return ranked.join(q, ["source", "n_tokens"]).select("doc_id", "source", "n_tokens", uses.alias("uses")).where("uses > 0")
+    return ranked.join(q, ["source", "n_tokens"]).select("doc_id", "source", "n_tokens", uses.alias("uses")).where("uses > 0"), counts
+
+
+def mixed(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 7, tokenizer: str = TOKENIZER, window: int = DP_WINDOW) -> DataFrame:
+    """(doc_id, source, n_tokens, uses): documents of the mix and how often each is used, at least 1.
+
+    ``total_tokens`` is the size of the mix, by default the tokens of all documents. Documents of a
+    length are chosen by a seeded hash. Sources without a target, and null ones, give nothing.
+    """
+    return _mixed(docs, targets, total_tokens, seed, tokenizer, window)[0]
 
 
 def mix_report(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 7, tokenizer: str = TOKENIZER) -> DataFrame:
-    """(source, target_share, max_repeats, docs, uses, tokens, share, reachable) of the mix."""
-    mix = mixed(docs, targets, total_tokens, seed, tokenizer)
-    per = mix.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum("uses").alias("uses"), F.sum(F.col("uses") * F.col("n_tokens")).alias("tokens"))
-    total = per.agg(F.sum("tokens").alias("all"))
-    got = targets_of(targets).join(per, "source", "left").crossJoin(F.broadcast(total))  # one row
-    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    share = F.coalesce(F.try_divide(F.col("tokens"), F.col("all")), F.lit(0.0))
-    return got.select("source", "target_share", "max_repeats", zero("docs"), zero("uses"), zero("tokens"), share.alias("share"))
+    """(source, target_share, max_repeats, docs, uses, tokens, share, wanted, reachable) of the mix.
+
+    share is the part of the mix's tokens that the source has; reachable says whether the source can
+    give the ``wanted`` tokens within its repeats.
+    """
+    mix, counts = _mixed(docs, targets, total_tokens, seed, tokenizer, DP_WINDOW)
+    per = mix.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum("uses").alias("uses"), F.sum(F.col("uses") * F.col("n_tokens")).alias("used"))
+    total = per.agg(F.sum("used").alias("all"))
+    got = capacities(counts, targets).join(per, "source", "left").crossJoin(F.broadcast(total))  # one row
+    wanted = F.col("wanted") if total_tokens is None else F.col("target_share") * F.lit(float(total_tokens))
+    zero = lambda c, n: F.coalesce(c, F.lit(0)).alias(n)
+    share = F.coalesce(F.try_divide(F.col("used"), F.col("all")), F.lit(0.0))
+    return got.select("source", "target_share", "max_repeats", zero("docs", "docs"), zero("uses", "uses"), zero("used", "tokens"), share.alias("share"), wanted.alias("wanted"), (~(F.col("max_repeats") * F.col("tokens") < wanted)).alias("reachable"))
