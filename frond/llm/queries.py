@@ -54,7 +54,7 @@ def p6_targets(spark, d):
     t = table(spark, d, "sample_targets")
     units = {"disease_name": quota.disease_units(table(spark, d, "raw_pairs")), "category": quota.category_units(table(spark, d, "crop_recommendations"))}
     plans = [quota.calibrate(u, quota.target_rows(t, f)) for f, u in units.items()]
-    return plans[0].unionByName(plans[1]).select("target_id", "supply", "met")
+    return plans[0].unionByName(plans[1]).select("target_id", "supply", "quota", F.round("probability", 9).alias("probability"), "met", F.round("gap", 6).alias("gap"))
 
 
 def _samples(spark, d):
@@ -77,7 +77,9 @@ def p7_found(spark, d):
 
 
 def p7_kinds(spark, d):
-    return leakage.leak_kinds(table(spark, d, "documents"), table(spark, d, "eval_items"))
+    """Leaks by kind; the names of crops come from the corpus."""
+    docs = table(spark, d, "documents")
+    return leakage.leak_kinds(docs, table(spark, d, "eval_items"), names=leakage.NAMES | leakage.listed_names(docs, "crop"))
 
 
 def p8_found(spark, d):
@@ -110,7 +112,7 @@ def p6_report(spark, d):
     for f, plan, sample in _samples(spark, d):
         drawn = sample.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
         n = F.when(F.col("quota") > 0, F.coalesce("n", F.lit(0))).otherwise(0).cast("bigint")
-        out.append(plan.join(drawn, "key", "left").select(F.lit(f).alias("field_name"), "target_id", "key", "share", "min_rows", "supply", "quota", n.alias("drawn"), "met", "gap"))
+        out.append(plan.join(drawn, "key", "left").select(F.lit(f).alias("field_name"), "target_id", "key", "share", "min_rows", "supply", "quota", n.alias("drawn"), "met", F.round("gap", 6).alias("gap")))
     return out[0].unionByName(out[1])
 
 
@@ -181,11 +183,26 @@ units as (
 ),
 supply as (select f, k, count(*) as n from units where k is not null group by f, k),
 targets as (
-  select target_id, coalesce(n, 0) as supply, coalesce(target_share, 0) * coalesce(sample_size, 0) as wish, coalesce(min_rows, 0) as least
+  select target_id, lower(trim(t.field_name)) as f, {_KEY.format(c='t.key_value')} as k, coalesce(target_share, 0) as share, coalesce(n, 0) as supply, coalesce(sample_size, 0) as size,
+    coalesce(target_share, 0) * coalesce(sample_size, 0) as wish, coalesce(min_rows, 0) as least
   from sample_targets t left join supply s on s.f = lower(trim(t.field_name)) and s.k = {_KEY.format(c='t.key_value')}
 )
 """
 
+# the sum of the clamped wishes is straight between the factors at which a wish meets a bound
+_QUOTAS = f"""{_SUPPLY},
+named as (select *, k is null or row_number() over (partition by f, k order by target_id) > 1 as again from targets),
+b as (select target_id, f, k, wish, least(least, supply)::double as low, supply::double as high, max(size) over (partition by f) as size from named where not again),
+turns as (select distinct f, c from (select f, low / wish as c from b where wish > 0 union all select f, high / wish from b where wish > 0 union all select f, 0.0 from b)),
+sums as (select a.f, a.c, sum(case when wish > 0 then least(high, greatest(low, a.c * wish)) else low end) as s, sum(case when wish > 0 and low <= a.c * wish and a.c * wish < high then wish else 0 end) as slope, any_value(size) as size from turns a join b on a.f = b.f group by a.f, a.c),
+factor as (select f, coalesce(arg_max(c + case when slope > 0 then (size - s) / slope else 0 end, c) filter (where s <= size), 0) as factor from sums group by f),
+parts as (select b.*, case when wish > 0 then least(high, greatest(low, factor * wish)) else low end as part from b join factor using (f)),
+whole as (select *, least(high, floor(part + 1e-9)) as base, round(sum(part) over (partition by f)) as total from parts),
+ranks as (select *, total - sum(base) over (partition by f) as short, row_number() over (partition by f, base < high and part > base + 1e-9 order by part - base desc, target_id) as place from whole),
+quotas as (select target_id, greatest(low, base + case when base < high and part > base + 1e-9 and place <= short then 1 else 0 end)::bigint as quota from ranks),
+planned as (select n.*, coalesce(q.quota, 0) as quota, not (supply < wish or supply < least) as met, round(greatest(0.0, greatest(wish, least) - coalesce(q.quota, 0)), 6) as gap from named n left join quotas q using (target_id))
+"""
+
 _WORDS = r"""
 regexp_extract_all(lower(regexp_replace(regexp_replace(regexp_replace(text, '</?\p{L}[^<>]*>', '', 'g'), '[\x{00AD}\x{200B}]', '', 'g'), '-\r?\n', '', 'g')), '[\p{L}\p{N}]+')
 """
@@ -231,7 +248,9 @@ ORACLES = {
       select audit_id, long_side, short_side, coverage_band, long_bin::int as long_bin, short_bin::int as short_bin, cell_rank from ranked
       order by cell_rank, sha256('7:' || long_bin || ':' || short_bin || ':' || coverage_band), long_bin, short_bin, coverage_band limit {SUBSET}""",
     "p6_found": f"with {_SUPPLY} select target_id from targets where supply < wish or supply < least",
-    "p6_targets": f"with {_SUPPLY} select target_id, supply, not (supply < wish or supply < least) as met from targets",
+    "p6_targets": f"with {_QUOTAS} select target_id, supply, quota, round(case when quota > 0 then least(1.0, quota / supply) else 0.0 end, 9) as probability, met, gap from planned where f in ('disease_name', 'category')",
+    # the pivotal method hits every quota exactly
+    "p6_report": f"with {_QUOTAS} select f as field_name, target_id, k as key, share, least as min_rows, supply, quota, quota as drawn, met, gap from planned where f in ('disease_name', 'category')",
     "p7_found": f"with {_LEAKS} select distinct doc_id, item_id from ig join dg using (n, g)",
     # characters stand in for tokens: the comparison is far from equal for every source
     "p8_found": """

@@ -46,25 +46,40 @@ def moments(units: DataFrame, wanted: DataFrame) -> DataFrame:
     return wanted.join(supply, "key", "left").withColumn("supply", F.coalesce("supply", F.lit(0).cast("bigint")))
 
 
-def newton_tilt(supply: list[int], wanted: list[float], steps: int = 200, tol: float = 1e-10) -> list[float]:
-    """Multipliers lam with supply * exp(lam) = wanted, by Newton steps on the dual.
-
-    The dual of calibration by exponential tilting, sum of supply * exp(lam) - wanted * lam, has the
-    gradient supply * exp(lam) - wanted and, for category indicators, a diagonal Hessian. A step up
-    is cut to 1, where the exponential would overshoot. A category without supply or wish is -inf.
+def newton_total(cells: DataFrame, size: float, steps: int = 100, tol: float = 1e-10) -> float:
+    """The multiplier nu of the sample size in the tilting dual, by Newton steps; -inf or inf if none is finite.
+
+    ``cells`` has a row for each category with wish, low and high: its rows at nu = 0, its floor and
+    its supply. Tilting by exp(nu) gives it min(high, max(low, wish * exp(nu))) rows, what is at a
+    bound being fixed there. The dual's gradient is the sum of these moments less ``size``, its
+    Hessian the sum over the categories that are not fixed. Both depend on nu and are aggregated
+    anew in every step; a step that leaves the interval known to hold the root is replaced by its
+    middle. If the floors exceed the size, or the supplies cannot reach it, the bound is the answer.
     """
-    lam = [-math.inf if not (s > 0 and w > 0) else 0.0 for s, w in zip(supply, wanted)]
+    w, lo, hi = F.col("wish"), F.col("low"), F.col("high")
+    some = cells.where("wish > 0")
+    ends = some.agg(F.sum(lo), F.sum(hi), F.min(F.ln(F.greatest(lo, F.lit(0.5)) / w)), F.max(F.ln(hi / w))).first()
+    fixed = cells.where("not wish > 0").agg(F.coalesce(F.sum(lo), F.lit(0.0))).first()[0]
+    size = size - fixed
+    if ends[0] is None or ends[0] >= size:
+        return -math.inf
+    if ends[1] <= size:
+        return math.inf
+    a, b = min(0.0, ends[2]) - 1.0, max(0.0, ends[3]) + 1.0
+    while True:  # the lower end has to lie below the root
+        if some.agg(F.sum(F.least(hi, F.greatest(lo, w * math.exp(a))))).first()[0] < size:
+            break
+        a = 2 * a - 1.0
+    nu = 0.0
     for _ in range(steps):
-        worst = 0.0
-        for i, (s, w) in enumerate(zip(supply, wanted)):
-            if lam[i] == -math.inf:
-                continue
-            moment = s * math.exp(lam[i])
-            worst = max(worst, abs(moment - w) / w)
-            lam[i] -= max(-1.0, min(20.0, (moment - w) / moment)) if moment < w else min(20.0, (moment - w) / moment)
-        if worst < tol:
+        x = w * math.exp(nu)
+        got, slope = some.agg(F.sum(F.least(hi, F.greatest(lo, x))), F.sum(F.when((x > lo) & (x < hi), x).otherwise(0.0))).first()
+        if abs(got - size) <= tol * size:
             break
-    return lam
+        a, b = (nu, b) if got < size else (a, nu)
+        step = nu + (size - got) / slope if slope > 0 else math.nan
+        nu = step if a < step < b else (a + b) / 2
+    return nu
 
 
 def round_to_total(parts: list[float], caps: list[int], total: int) -> list[int]:
@@ -79,46 +94,29 @@ def round_to_total(parts: list[float], caps: list[int], total: int) -> list[int]
     return out
 
 
-def scale(wish: list[float], low: list[float], high: list[float], size: float) -> list[float]:
-    """Wishes times one factor, kept within their bounds, so that they add to ``size``.
+def plan(rows: list, nu: float) -> list[dict]:
+    """Quotas of one field's targets at the multiplier ``nu`` of the size.
 
-    The sum grows with the factor, which is found by bisection. If even the lower bounds exceed
-    ``size`` they stay as they are; if the upper bounds cannot reach it, all that is there is taken.
-    """
-    at = lambda c: [min(h, max(lo, c * w)) for w, lo, h in zip(wish, low, high)]
-    most = max([1.0, *(h / w for w, h in zip(wish, high) if w > 0)])
-    if sum(at(0.0)) >= size:
-        return at(0.0)
-    if sum(at(most)) <= size:
-        return at(most)
-    a, b = 0.0, most
-    for _ in range(200):
-        c = (a + b) / 2
-        a, b = (c, b) if sum(at(c)) < size else (a, c)
-    return at(b)
-
-
-def plan(rows: list) -> list[dict]:
-    """Quotas of one field's targets.
-
-    A wish is share * size. Wishes are scaled by one factor so that quotas add to the size, each
+    A wish is share * size. Wishes are scaled by exp(nu) so that quotas add to the size, each
     between its floor (min_rows, or the supply if smaller) and its supply. What a scarce category
     lacks thus goes to the others in proportion, which leaves their shares among each other as
-    wanted. Floors that exceed the size by themselves are kept. Targets whose supply is below the
-    wish or below min_rows are not met; the gap is what the quota lacks of the greater of both.
+    wanted. Floors that exceed the size by themselves are kept. Targets that are fixed at their
+    supply before any scaling, short of the wish or of min_rows, are not met; the gap is what the
+    quota lacks of the greater of both. With one category for each unit its own multiplier lam is
+    ln(quota / supply), and exp(lam) the chance of its units.
     """
-    size = max([0, *(r["sample_size"] for r in rows)])
-    floor = [min(r["min_rows"], r["supply"]) for r in rows]
-    supply = [r["supply"] for r in rows]
-    want = scale([r["share"] * r["sample_size"] for r in rows], [float(f) for f in floor], [float(s) for s in supply], float(size))
-    quota = round_to_total(want, supply, round(sum(want)))
-    quota = [max(q, f) for q, f in zip(quota, floor)]
-    lam = newton_tilt([r["supply"] for r in rows], [float(q) for q in quota])
-    out = []
-    for r, q, x in zip(rows, quota, lam):
+    out, want = [], []
+    for r in rows:
+        wish, low = r["share"] * r["sample_size"], min(r["min_rows"], r["supply"])
+        at = math.exp(nu) * wish if wish > 0 and nu < 700 else math.inf if wish > 0 else 0.0
+        want.append(float(min(r["supply"], max(low, at))))
+    quota = round_to_total(want, [r["supply"] for r in rows], round(sum(want)))
+    for r, q in zip(rows, quota):
         wish = r["share"] * r["sample_size"]
-        p = 0.0 if x == -math.inf else min(1.0, math.exp(x))
-        out.append(r.asDict() | {"quota": q, "lam": None if x == -math.inf else x, "probability": p, "met": not (r["supply"] < wish or r["supply"] < r["min_rows"]), "gap": max(0.0, float(max(wish, r["min_rows"])) - q)})
+        q = max(q, min(r["min_rows"], r["supply"]))
+        lam = math.log(q / r["supply"]) if q > 0 else None
+        short = min(r["supply"], max(wish, r["min_rows"])) < max(wish, r["min_rows"])
+        out.append(r.asDict() | {"quota": q, "lam": lam, "probability": 0.0 if lam is None else min(1.0, q / r["supply"]), "met": not short, "gap": max(0.0, float(max(wish, r["min_rows"])) - q)})
     return out
 
 
@@ -129,10 +127,12 @@ def calibrate(units: DataFrame, wanted: DataFrame) -> DataFrame:
     """One row for each target: supply, quota, tilt, inclusion probability, met or not, and the gap.
 
     Only the targets with their supplies reach the driver, and they are a parameter of the sample;
-    more than MAX_TARGETS of them are refused. Of targets naming one key, the one of the smallest
+    more than MAX_TARGETS of them are refused. The multiplier of the size is found by Newton steps on
+    moments that are aggregated in every step. Of targets naming one key, the one of the smallest
     target_id is sampled and the others get quota 0, as they draw on the same supply.
     """
-    got = moments(units, wanted).orderBy("target_id").limit(MAX_TARGETS + 1).collect()
+    cells = Scratch(units.sparkSession).write(moments(units, wanted), "moments")
+    got = cells.orderBy("target_id").limit(MAX_TARGETS + 1).collect()
     if len(got) > MAX_TARGETS:
         raise ValueError(f"more than {MAX_TARGETS} targets")
     seen: set = set()
@@ -140,32 +140,47 @@ def calibrate(units: DataFrame, wanted: DataFrame) -> DataFrame:
     for r in got:
         (again if r["key"] is None or r["key"] in seen else first).append(r)
         seen.add(r["key"])
-    rows = plan(first) + [p | {"quota": 0, "lam": None, "probability": 0.0, "gap": max(0.0, p["share"] * p["sample_size"], float(p["min_rows"]))} for r in again for p in plan([r])]
+    sampled = cells.where(F.col("key").isNotNull()).groupBy("key").agg(F.min_by(F.struct("share", "min_rows", "sample_size", "supply"), "target_id").alias("t")).select("t.*")
+    bounds = sampled.select((F.col("share") * F.col("sample_size")).alias("wish"), F.least("min_rows", "supply").cast("double").alias("low"), F.col("supply").cast("double").alias("high"))
+    size = max([0, *(r["sample_size"] for r in first)])
+    nu = newton_total(bounds, float(size)) if first else 0.0
+    none = {"quota": 0, "lam": None, "probability": 0.0}
+    rows = plan(first, nu) + [p | none | {"gap": max(0.0, p["share"] * p["sample_size"], float(p["min_rows"]))} for r in again for p in plan([r], 0.0)]
     names = [c.split()[0] for c in PLAN.split(", ")]
     return units.sparkSession.createDataFrame([tuple(r[n] for n in names) for r in rows], PLAN)
 
 
-def _pivotal(seed: int, last: bool):
-    """Sequential pivotal sampling of each key's units within a partition.
+def _pivotal(last: bool):
+    """Sequential pivotal sampling of each bucket's and key's units, in the order of rows.
 
     Two units duel: with probabilities p and q, one gives its probability to the other until it is 0
-    or 1. At most one undecided unit a key is left, kept with its current probability.
+    or 1. At most one undecided unit of a bucket and key is left, with its current probability.
+    Rows come bucket by bucket; in the last pass the bucket is the key's only one.
     """
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
         state: dict = {}
-        schema = None
+        now = None
+
+        def batch_of(rows):
+            i, k, p, b = zip(*rows)
+            return pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(k, pa.string()), pa.array(p, pa.float64()), pa.array(b, pa.int32())], names=["unit_id", "key", "p", "bucket"])
+
+        def settled(b):
+            rest = [(i, k, (1.0 if p > 0.5 else 0.0) if last else p, b) for k, (i, p) in state.items()]
+            state.clear()
+            return rest
+
         for batch in batches:
-            schema = batch.schema
-            ids, keys, ps = batch.column("unit_id").to_pylist(), batch.column("key").to_pylist(), batch.column("p").to_pylist()
-            draws = batch.column("draw").to_numpy(zero_copy_only=False)
             out: list = []
-            for i, k, q, u in zip(ids, keys, ps, draws):
+            for i, k, q, b, u in zip(*[batch.column(n).to_pylist() for n in ("unit_id", "key", "p", "bucket", "draw")]):
+                if b != now:
+                    out += settled(now)
+                    now = b
                 if q >= 1.0 - 1e-9:
-                    out.append((i, k, 1.0))
+                    out.append((i, k, 1.0, b))
                     continue
                 held = state.get(k)
                 if held is None:
@@ -175,42 +190,42 @@ def _pivotal(seed: int, last: bool):
                 t = p + q
                 if t < 1.0 - 1e-9:
                     state[k] = (j, t) if u * t < p else (i, t)
+                    continue
+                # the winner is taken, the other goes on with the rest
+                keep_j = u * (2.0 - t) < 1.0 - q if t < 2.0 else True
+                out.append((j if keep_j else i, k, 1.0, b))
+                if t - 1.0 > 1e-9:
+                    state[k] = (i if keep_j else j, t - 1.0)
                 else:
-                    r = t - 1.0
-                    # the winner is taken, the other goes on with the rest
-                    keep_j = u * (2.0 - t) < 1.0 - q if t < 2.0 else True
-                    out.append((j if keep_j else i, k, 1.0))
-                    if r > 1e-9:
-                        state[k] = (i if keep_j else j, r)
-                    else:
-                        state.pop(k)
+                    state.pop(k)
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.string()), pa.array([o[2] for o in out], pa.float64()), pa.array(np.zeros(len(out)))], names=schema.names)
-        rest = [(i, k, p) for k, (i, p) in state.items()]
-        if rest:
-            done = [(i, k, (1.0 if p > 0.5 else 0.0) if last else p) for i, k, p in rest]
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in done], pa.int64()), pa.array([o[1] for o in done], pa.string()), pa.array([o[2] for o in done], pa.float64()), pa.array(np.zeros(len(done)))], names=schema.names)
+                yield batch_of(out)
+        if rest := settled(now):
+            yield batch_of(rest)
 
     return run
 
 
-def pivotal_sample(units: DataFrame, chances: DataFrame, seed: int = 7) -> DataFrame:
+def pivotal_sample(units: DataFrame, chances: DataFrame, seed: int = 7, buckets: int = 4096) -> DataFrame:
     """(unit_id, key): a sample with the inclusion probabilities of ``chances`` (key, probability).
 
-    Each partition decides its units in one pass, whatever their keys, so a key of a third of all
-    rows is spread over all tasks. What stays undecided, at most one unit for each key and
-    partition, meets again in a task of its key. A key's probabilities add to a whole number, its
-    quota, which is then hit exactly. The first pass is written, so a lost executor cannot lead to
-    another draw for part of it.
+    A unit's hash puts it into one of ``buckets``; each decides its units in one pass by unit_id,
+    whatever their keys, so a key of a third of all rows is spread over all tasks. What stays
+    undecided, at most one unit for each key and bucket, meets again in a task of its key. A key's
+    probabilities add to a whole number, its quota, which is then hit exactly. Buckets, orders and
+    draws follow from the ids and the seed alone: however the input is partitioned, the sample is
+    the same. An id listed twice under one key is one unit.
     """
     scratch = Scratch(units.sparkSession)
-    p = chances.where(F.col("probability") > 0).select("key", F.col("probability").alias("p"))
-    draw = unit_hash(seed, F.col("unit_id"))
-    rows = units.join(F.broadcast(p), "key").select("unit_id", "key", "p", draw.alias("draw"))
-    schema = "unit_id bigint, key string, p double, draw double"
-    first = scratch.write(rows.sortWithinPartitions("unit_id").mapInArrow(_pivotal(seed, False), schema), "duels")
-    undecided = first.where("p < 1").withColumn("draw", unit_hash(seed + 1, F.col("unit_id")))
-    final = undecided.repartition("key").sortWithinPartitions("key", "unit_id").mapInArrow(_pivotal(seed + 1, True), schema)
+    p = chances.where(F.col("probability") > 0).groupBy("key").agg(F.max("probability").alias("p"))
+    rows = units.where("unit_id is not null").select("unit_id", "key").distinct().join(F.broadcast(p), "key")
+    bucket = F.floor(unit_hash(seed, F.col("unit_id")) * buckets).cast("int")
+    rows = rows.select("unit_id", "key", "p", bucket.alias("bucket"), unit_hash(seed + 1, F.col("unit_id")).alias("draw"))
+    schema = "unit_id bigint, key string, p double, bucket int"
+    first = scratch.write(rows.repartition("bucket").sortWithinPartitions("bucket", "unit_id", "key").mapInArrow(_pivotal(False), schema), "duels")
+    undecided = first.where("p < 1").repartition("key").sortWithinPartitions("key", "bucket", "unit_id")
+    undecided = undecided.select("unit_id", "key", "p", F.lit(0).alias("bucket"), unit_hash(seed + 2, F.col("unit_id")).alias("draw"))
+    final = undecided.mapInArrow(_pivotal(True), schema)
     return first.where("p >= 1").select("unit_id", "key").unionByName(final.where("p >= 1").select("unit_id", "key"))
 
 

@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -19,13 +20,35 @@ def units(spark, sizes):
     return spark.createDataFrame([(i * 10_000 + j, k) for i, (k, n) in enumerate(sizes.items()) for j in range(n)], "unit_id bigint, key string")
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 10**7), st.one_of(st.just(0.0), st.floats(1e-9, 1))), min_size=1, max_size=12))
-def test_newton_reaches_its_moments(parts):
-    supply = [s for s, _ in parts]
-    wanted = [s * f for s, f in parts]
-    for s, w, x in zip(supply, wanted, Q.newton_tilt(supply, wanted)):
-        assert (x == -math.inf and not (s > 0 and w > 0)) or abs(s * math.exp(x) - w) <= 1e-6 * max(w, 1e-300)
+def clamped(rows, nu):
+    return [min(h, max(lo, w * math.exp(nu))) for w, lo, h in rows]
+
+
+def by_halving(rows, size):
+    """The multiplier by plain bisection, to check Newton's."""
+    some = [r for r in rows if r[0] > 0]
+    size -= sum(lo for w, lo, _ in rows if not w > 0)
+    if not some or sum(lo for _, lo, _ in some) >= size:
+        return -math.inf
+    if sum(h for _, _, h in some) <= size:
+        return math.inf
+    a, b = -60.0, 60.0
+    for _ in range(200):
+        c = (a + b) / 2
+        a, b = (c, b) if sum(clamped(some, c)) < size else (a, c)
+    return a
+
+
+def test_newton_reaches_the_size(spark):
+    rng = random.Random(3)
+    for n in (1, 2, 5, 12, 12, 12):
+        rows = []
+        for _ in range(n):
+            high = rng.choice([0, 1, 40, 1000, 10**6])
+            rows.append((rng.choice([0.0, 0.4, 30.0, 900.0]), float(min(high, rng.choice([0, 0, 5, 60]))), float(high)))
+        size = rng.choice([0, 1, 50, 800, 10**7])
+        want, nu = by_halving(rows, size), Q.newton_total(spark.createDataFrame(rows, "wish double, low double, high double"), float(size))
+        assert math.isinf(want) == math.isinf(nu) and (want == nu or abs(sum(clamped(rows, nu)) - size) <= 1e-6 * size)
 
 
 def test_sample_hits_quotas_floors_and_gaps(spark):
@@ -40,13 +63,16 @@ def test_sample_hits_quotas_floors_and_gaps(spark):
     assert Counter(r.key for r in got) == {"a": 67, "b": 30, "c": 3} and len({r.unit_id for r in got}) == 100
     again = Q.pivotal_sample(u, plan).collect()
     assert sorted(got) == sorted(again)
+    for parts in (3, 7):  # however the units are partitioned
+        assert sorted(Q.pivotal_sample(u.repartition(parts, "unit_id"), plan, buckets=16).collect()) == sorted(Q.pivotal_sample(u.coalesce(1), plan, buckets=16).collect())
 
 
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.tuples(st.floats(0, 1), st.integers(0, 30), st.integers(0, 500)), min_size=1, max_size=8), st.integers(0, 900))
 def test_quotas_fill_the_size_within_bounds(parts, size):
     rows = [Row(target_id=i, key=str(i), share=a, min_rows=m, sample_size=size, supply=s) for i, (a, m, s) in enumerate(parts)]
-    got = Q.plan(rows)
+    bounds = [(r.share * size, float(min(r.min_rows, r.supply)), float(r.supply)) for r in rows]
+    got = Q.plan(rows, by_halving(bounds, size))
     floors = [min(r.min_rows, r.supply) for r in rows]
     assert all(f <= p["quota"] <= p["supply"] for p, f in zip(got, floors))
     reach = sum(r.supply if r.share > 1e-6 else min(r.min_rows, r.supply) for r in rows)
