@@ -220,6 +220,32 @@ dg as (
 )
 """
 
+# every window of 300 characters; those that another document has too, merged where they overlap
+_STRETCHES = """
+lt as (select distinct doc_id, text from documents where length(text) >= 300 and doc_id is not null),
+win as (select doc_id, s, md5(substr(text, s + 1, 300)) as g from (select doc_id, text, unnest(range(0, length(text) - 299)) as s from lt)),
+twice as (select g from win group by g having min(doc_id) < max(doc_id)),
+hit as (select doc_id, s from win semi join twice using (g)),
+marked as (select *, count(*) filter (where lead_s is null or s >= lead_s + 300) over (partition by doc_id order by s) as part
+  from (select doc_id, s, lag(s) over (partition by doc_id order by s) as lead_s from hit))
+"""
+
+# sentences with their places; runs of two or more with 300 characters, the shortest from and to each sentence
+_BLANK = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_RUNS = rf"""
+cutting as (select doc_id, text, regexp_extract_all(text, '(?s).*?(?:[.!?]+["'')\]]*{_BLANK}+|{_BLANK}*\n{_BLANK}*)|.+') as ps from documents where doc_id is not null and text <> ''),
+pcs as (select doc_id, unnest(ps) as piece, generate_subscripts(ps, 1) as i from cutting),
+sen as (select *, sum(length(piece)) over (partition by doc_id order by i) - length(piece) as a,
+  sum(length(piece)) over (partition by doc_id order by i) - length(piece) + length(regexp_replace(piece, '{_BLANK}+$', '')) as z from pcs),
+runs as (
+  select x.doc_id, x.i, x.a, min(y.z) as z from sen x join sen y on x.doc_id = y.doc_id and y.i > x.i and y.z - x.a >= 300 group by all
+  union
+  select y.doc_id, max(x.i), max(x.a), y.z from sen x join sen y on x.doc_id = y.doc_id and y.i > x.i and y.z - x.a >= 300 group by y.doc_id, y.i, y.z
+),
+named as (select r.*, md5(substr(d.text, r.a::int + 1, (r.z - r.a)::int)) as h from runs r join documents d using (doc_id)),
+repeated as (select doc_id, a, z from (select *, count(*) over (partition by h) as n, row_number() over (partition by h order by doc_id, i) as place from named) where n > 1 and place > 1)
+"""
+
 ORACLES = {
     "p1_found": f"with recursive {_GROUPS} select group_id, pair_id from groups",
     "p1_splits": f"""
@@ -263,4 +289,17 @@ ORACLES = {
       r as (select g from w group by g having count(*) > 1),
       x as (select doc_id, g from w semi join r using (g))
       select distinct a.doc_id as doc_id_a, b.doc_id as doc_id_b from x a join x b on a.g = b.g and a.doc_id < b.doc_id""",
+    "p9_stretches": f"with {_STRETCHES} select doc_id, min(s)::int as start, max(s + 300)::int as end from marked group by doc_id, part",
+    "p9_shares": f"""
+      with {_STRETCHES}, {_RUNS},
+      sized as (select doc_id, max(length(coalesce(text, ''))) as n_chars from documents where doc_id is not null group by doc_id),
+      shared as (select doc_id, sum(e - s) as n from (select doc_id, min(s) as s, max(s + 300) as e from marked group by doc_id, part) group by doc_id),
+      spots as (select distinct doc_id, a, z from repeated),
+      fresh as (select doc_id, greatest(0, z - greatest(a, coalesce(max(z) over (partition by doc_id order by a, z rows between unbounded preceding and 1 preceding), 0))) as n from spots),
+      removable as (select doc_id, sum(n) as n from fresh group by doc_id)
+      select doc_id, n_chars, coalesce(s.n, 0)::bigint as shared_chars, coalesce(r.n, 0)::bigint as removable_chars from sized left join shared s using (doc_id) left join removable r using (doc_id)""",
+    "p9_cleaned": f"""
+      with {_RUNS},
+      kept as (select s.doc_id, string_agg(s.piece, '' order by s.i) as t from sen s where not exists (select 1 from repeated r where r.doc_id = s.doc_id and r.a <= s.a and s.a < r.z) group by s.doc_id)
+      select d.doc_id, case when d.text is null then null else coalesce(k.t, '') end as text from documents d left join kept k using (doc_id) where d.doc_id is not null""",
 }

@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from frond.llm.anchors import anchors
-from frond.operators.skew import HOT_ROWS, hot_keys, lookup
+from frond.operators.skew import HOT_ROWS, hot_keys, lookup, pair_join
 from frond.storage import Scratch
 
 SPAN = 300
@@ -121,11 +121,13 @@ def _paired(ctx: DataFrame, margin: int) -> DataFrame:
     return both.mapInArrow(run, "rep_a bigint, rep_b bigint").distinct()
 
 
-def _windowed(ctx: DataFrame, span: int, gram: int) -> DataFrame:
+def _windowed(ctx: DataFrame, span: int, gram: int, scratch: Scratch, hot_rows: int) -> DataFrame:
     """Pairs of large groups, by the exact windows that contain the gram.
 
     Documents that only share the gram part here, each window being a key of its own; the documents
-    of a window are all pairs of the result, so no work is spent on pairs that fail.
+    of a window are all pairs of the result, so no work is spent on pairs that fail. Neighbouring
+    windows of a stretch mostly have the same documents: of windows with one set of documents, told
+    by its size and two exclusive ors of hashes, one forms the pairs.
     """
     margin = span - gram
 
@@ -142,11 +144,13 @@ def _windowed(ctx: DataFrame, span: int, gram: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["doc_id", "window"])
 
     cut = ctx.mapInArrow(run, "doc_id bigint, window string")
-    cut = cut.select("doc_id", F.unhex(F.sha2("window", 256)).alias("window")).distinct()
-    again = cut.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    cut = cut.join(again.select("window"), "window", "left_semi")
+    cut = scratch.write(cut.select("doc_id", F.unhex(F.sha2("window", 256)).alias("window")).distinct(), "windows")
+    sets = cut.groupBy("window").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("y")).where("n > 1")
+    one_each = scratch.write(sets.groupBy("n", "x", "y").agg(F.min("window").alias("window")).select("window", "n"), "sets")
+    hot = hot_keys(one_each, "window", "n", hot_rows)
+    cut = lookup(cut, one_each.select("window"), "window", hot)
     one, two = cut.select("window", F.col("doc_id").alias("rep_a")), cut.select("window", F.col("doc_id").alias("rep_b"))
-    return one.join(two, "window").where("rep_a < rep_b").select("rep_a", "rep_b").distinct()
+    return pair_join(one, two, "window", F.col("rep_a"), hot).where("rep_a < rep_b").select("rep_a", "rep_b").distinct()
 
 
 def class_pairs(docs: DataFrame, span: int = SPAN, gram: int = GRAM, paired: int = PAIRED_GROUP, scratch: Scratch | None = None, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
@@ -156,9 +160,10 @@ def class_pairs(docs: DataFrame, span: int = SPAN, gram: int = GRAM, paired: int
     their representative, so a text that a third of the documents repeat is one text. Grams at up to
     ``paired`` places are compared in pairs; larger groups by exact windows, whole.
     """
-    ctx, same = _met(docs, span, gram, paired, scratch or Scratch(docs.sparkSession), hot_rows)
+    scratch = scratch or Scratch(docs.sparkSession)
+    ctx, same = _met(docs, span, gram, paired, scratch, hot_rows)
     small = _paired(ctx.where("not large"), span - gram)
-    large = _windowed(ctx.where("large"), span, gram)
+    large = _windowed(ctx.where("large"), span, gram, scratch, hot_rows)
     return small.unionByName(large).distinct(), same
 
 
@@ -184,12 +189,16 @@ def stretch_pairs(docs: DataFrame, span: int = SPAN, gram: int = GRAM, paired: i
     """
     scratch = Scratch(docs.sparkSession)
     reps, same = class_pairs(docs, span, gram, paired, scratch, hot_rows)
-    member = lambda n: same.select(F.col("rep").alias(f"rep_{n}"), F.col("doc_id").alias(f"m_{n}"))
-    wide = reps.join(member("a"), "rep_a", "left").join(member("b"), "rep_b", "left")
-    x, y = F.coalesce("m_a", "rep_a"), F.coalesce("m_b", "rep_b")
-    wide = wide.select(F.least(x, y).alias("doc_id_a"), F.greatest(x, y).alias("doc_id_b"))
-    inner = same.select("rep", F.col("doc_id").alias("doc_id_a")).join(same.select("rep", F.col("doc_id").alias("doc_id_b")), "rep")
-    inner = inner.where("doc_id_a < doc_id_b").select("doc_id_a", "doc_id_b")
+    hot = hot_keys(same.groupBy("rep").agg(F.count(F.lit(1)).alias("n")), "rep", "n", hot_rows)
+    reps = scratch.write(reps, "reps")
+    alone = reps.select(F.col("rep_a").alias("rep")).unionByName(reps.select(F.col("rep_b").alias("rep"))).distinct().join(same, "rep", "left_anti")
+    members = scratch.write(same.select("rep", "doc_id").unionByName(alone.select("rep", F.col("rep").alias("doc_id"))), "members")
+    member = lambda n: members.select(F.col("rep").alias(f"rep_{n}"), F.col("doc_id").alias(f"m_{n}"))
+    wide = pair_join(reps, member("a"), "rep_a", F.col("rep_b"), hot)
+    wide = pair_join(wide, member("b"), "rep_b", F.col("m_a"), hot)
+    wide = wide.select(F.least("m_a", "m_b").alias("doc_id_a"), F.greatest("m_a", "m_b").alias("doc_id_b"))
+    one, two = same.select("rep", F.col("doc_id").alias("doc_id_a")), same.select("rep", F.col("doc_id").alias("doc_id_b"))
+    inner = pair_join(one, two, "rep", F.col("doc_id_a"), hot).where("doc_id_a < doc_id_b").select("doc_id_a", "doc_id_b")
     return wide.unionByName(inner)
 
 

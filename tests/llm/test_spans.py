@@ -129,3 +129,16 @@ def test_the_end_of_a_run_counts(spark):
         trim = [s + len(x[s:e].rstrip()) for s, e in b]
         want = [max((i for i in range(j) if trim[j] - b[i][0] >= 30), default=None) for j in range(len(b))]
         assert {j: i for j, i in enumerate(want) if i is not None} == {i + n - 1: i for i, n, _, _ in S.ending_runs(x, 30, 2)}
+
+
+def test_pairs_of_a_common_block_are_formed_once(spark):
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcdefghijkl ") for _ in range(n))
+    block, short = word(1000), word(320)
+    rows = [(i, word(60) + block + word(60)) for i in range(100)] + [(200 + i, word(9) + short + block[:400]) for i in range(70)]
+    scratch = S.Scratch(spark)
+    ctx, _ = S._met(docs(spark, rows), 300, 200, 64, scratch, 10**6)
+    pairs = S._windowed(ctx.where("large"), 300, 200, scratch, 10**6).collect()
+    sets = spark.read.parquet(next(p for p in scratch._paths.values() if p.endswith("-sets"))).collect()
+    assert len(pairs) == 170 * 169 // 2
+    assert sum(r.n * (r.n - 1) // 2 for r in sets) <= 3 * len(pairs)  # pairs formed, each window by itself would be 700 times as many
