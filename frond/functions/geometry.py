@@ -73,8 +73,8 @@ def denormalize(p: Column, w: Column, h: Column) -> Column:
 
 
 def clockwise(p: Column) -> Column:
-    """ARR-09: reversed if its signed area is negative."""
-    return F.when(signed_area(p) < 0, F.reverse(p)).otherwise(p)
+    """ARR-09: reversed if the sum of (x2 - x1)(y2 + y1) over its edges is negative, so if signed_area is positive."""
+    return F.when(signed_area(p) > 0, F.reverse(p)).otherwise(p)
 
 
 def corners(cx: Column, cy: Column, w: Column, h: Column) -> Column:

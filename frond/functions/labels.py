@@ -96,11 +96,11 @@ def audit_polygons(files: DataFrame, class_ids: list[int] | None = None, key: st
     unknown class, bounds, fewer than three points, self-intersection, area at most 1e-5, OK. A line
     that fails before its geometry has class -1 and no points.
     """
-    from pyspark.sql import Window as W
-
-    ln = lines(files, keep=(key,)).withColumn("t", tokens(F.col("line")))
-    # the place among equal lines of one file; a file's lines are bounded by the file
-    ln = ln.withColumn("again", F.row_number().over(W.partitionBy(key, "line").orderBy("line_no")) > 1)
+    # a file's lines, sorted in its own array: equal ones are neighbours, the first in the file leading
+    cut = F.transform(F.split("content", "\r\n|\n|\r"), lambda r, i: F.struct(F.regexp_replace(r, r"^\s+|\s+$", "").alias("line"), i.alias("line_no")))
+    srt = files.select(key, F.array_sort(F.filter(cut, lambda x: x["line"] != "")).alias("s"))
+    marked = F.transform("s", lambda x, i: F.struct(x["line_no"].alias("line_no"), x["line"].alias("line"), F.coalesce((i > 0) & (x["line"] == F.get("s", i - 1)["line"]), F.lit(False)).alias("again")))
+    ln = srt.select(key, F.inline(marked)).withColumn("t", tokens(F.col("line")))
     malformed = line_reason(F.col("t"), "strict_odd7")
     malformed = F.when(F.col("again"), "duplicate_line").when(~malformed.isin("out_of_bounds"), malformed)
     ln = ln.withColumn("bad", malformed)

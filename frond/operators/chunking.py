@@ -60,30 +60,35 @@ def number_rows(df: DataFrame, key: Column, order: list[str], keep: list[Column]
     return out.withColumn("_chunk", F.floor((F.col("_row") - 1) / chunk_rows).cast("bigint")).drop("_part", "_place", "_offset")
 
 
-def merge_runs(chunks: DataFrame) -> DataFrame:
+def _fold(states: DataFrame, keys: list[str]) -> DataFrame:
+    """The ordered states of each of ``keys`` as one state."""
+    got = states.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_chunk", "n", "first", "last", "best", "head", "tail"))).alias("s"))
+    zero = F.lit(0).cast("bigint")
+    start = F.struct(zero.alias("n"), zero.alias("best"), zero.alias("head"), zero.alias("tail"))
+    both = F.aggregate(
+        "s",
+        start,
+        lambda a, x: F.struct(
+            (a["n"] + x["n"]).alias("n"),
+            F.greatest(a["best"], x["best"], a["tail"] + x["head"]).alias("best"),
+            F.when(a["head"] == a["n"], a["n"] + x["head"]).otherwise(a["head"]).alias("head"),
+            F.when(x["tail"] == x["n"], a["tail"] + x["n"]).otherwise(x["tail"]).alias("tail"),
+        ),
+    )
+    got = got.withColumn("_f", both)
+    return got.select(*keys, *[F.col(f"_f.{c}").alias(c) for c in ("n", "best", "head", "tail")], F.col("s")[0]["first"].alias("first"), F.element_at("s", -1)["last"].alias("last"))
+
+
+def merge_runs(chunks: DataFrame, fan: int = 1024) -> DataFrame:
     """Fold the ordered chunk states of each key.
 
     A state has n rows, its first and last value, and for runs of flagged rows the longest (best),
     the one at its start (head) and the one at its end (tail). A run crossing a border is the tail
-    carried so far plus the head. A key of n rows has n / chunk_rows states.
+    carried so far plus the head. States of ``fan`` neighbouring chunks are folded first, then those
+    of the key, so a key of n rows brings n / (chunk_rows * fan) states together at the end.
     """
-    states = chunks.groupBy("_key").agg(
-        F.array_sort(F.collect_list(F.struct("_chunk", "n", "first", "last", "best", "head", "tail"))).alias("s")
-    )
-    zero = F.struct(F.lit(0).cast("bigint").alias("best"), F.lit(0).cast("bigint").alias("carry"))
-    fold = F.aggregate(
-        "s",
-        zero,
-        lambda acc, x: F.struct(
-            F.greatest(acc["best"], x["best"], acc["carry"] + x["head"]).alias("best"),
-            F.when(x["head"] == x["n"], acc["carry"] + x["n"]).otherwise(x["tail"]).alias("carry"),
-        ),
-    )
-    total = F.aggregate("s", F.lit(0).cast("bigint"), lambda acc, x: acc + x["n"])
-    return states.select(
-        F.col("_key").alias("key"), total.alias("n_rows"), F.col("s")[0]["first"].alias("first_value"),
-        F.element_at("s", -1)["last"].alias("last_value"), fold["best"].alias("longest_run"),
-    )
+    groups = _fold(chunks.withColumn("_group", F.floor(F.col("_chunk") / fan)), ["_key", "_group"]).withColumnRenamed("_group", "_chunk")
+    return _fold(groups, ["_key"]).select(F.col("_key").alias("key"), F.col("n").alias("n_rows"), F.col("first").alias("first_value"), F.col("last").alias("last_value"), F.col("best").alias("longest_run"))
 
 
 def per_key_summary(df: DataFrame, key: Column, order: list[str], value: Column, flag: Column, chunk_rows: int = CHUNK_ROWS) -> DataFrame:

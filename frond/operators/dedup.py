@@ -12,7 +12,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from frond.operators.skew import HOT_ROWS, hot_keys, lookup
+from frond.operators.skew import HOT_ROWS, hot_keys, lookup, pair_join
 from frond.storage import Scratch
 
 PRIORITY = {"train": 0, "val": 1, "test": 2}
@@ -103,40 +103,48 @@ def within_split(df: DataFrame, key: str, id_col: str, split: str = "split", hot
     return duplicate_of(both, "_k", id_col, [], hot_rows)
 
 
-def hamming_pairs(fps: DataFrame, max_bits: int) -> DataFrame:
+def hamming_pairs(fps: DataFrame, max_bits: int, hot_rows: int = HOT_ROWS) -> DataFrame:
     """JN-10: pairs (a, b), a < b as numbers, of distinct fingerprints within ``max_bits`` bits.
 
     By the pigeonhole principle: of max_bits + 2 blocks at least two are equal, so equality of some
     two blocks is a complete candidate test, of about 2 * 64 / (max_bits + 2) bits. A pair that
     several block pairs find is kept by the first. ``fps`` holds one column ``fp`` of distinct values.
+    Parts that very many fingerprints share, as those of near-blank pictures, are dealt over tasks.
     """
     blocks = min(64, max_bits + 2)
     edges = [round(i * 64 / blocks) for i in range(blocks + 1)]
     masks = [((1 << (hi - lo)) - 1) << lo for lo, hi in zip(edges, edges[1:])]
     twos = [x | y for x, y in combinations(masks, 2)]
     lits = F.array(*[F.lit(m - (1 << 64) if m >> 63 else m).cast("bigint") for m in twos])
-    cut = lambda n: fps.where("fp is not null").select(F.col("fp").alias(n), F.posexplode(lits).alias("band", "mask")).select(n, "band", F.col(n).bitwiseAND(F.col("mask")).alias("part"))
+    cut = lambda n: fps.where("fp is not null").select(F.col("fp").alias(n), F.posexplode(lits).alias("band", "mask")).select(n, "band", F.xxhash64("band", F.col(n).bitwiseAND(F.col("mask"))).alias("part"))
+    hot = hot_keys(cut("a").groupBy("part").agg(F.count(F.lit(1)).alias("n")), "part", "n", hot_rows) if fps.limit(hot_rows + 1).count() > hot_rows else []
     x = F.col("a").bitwiseXOR(F.col("b"))
-    near = cut("a").join(cut("b"), ["band", "part"]).where(F.col("a") < F.col("b")).where(F.bit_count(x) <= max_bits)
+    near = pair_join(cut("a"), cut("b").drop("band"), "part", F.col("a"), hot).where(F.col("a") < F.col("b")).where(F.bit_count(x) <= max_bits)
     first = F.array_position(F.transform(lits, lambda m: x.bitwiseAND(m) == 0), True) - 1
     return near.where(first == F.col("band")).select("a", "b", F.bit_count(x).alias("distance"))
 
 
-def min_label(edges: DataFrame, scratch: Scratch) -> DataFrame:
+def min_label(edges: DataFrame, scratch: Scratch, hot_rows: int = HOT_ROWS) -> DataFrame:
     """GRF-01: (node, root): smallest node of its component, for nodes of the edges (a, b).
 
     Every round takes the least label among neighbours and then the label of that label, which
     halves distances, so rounds grow with the logarithm of the longest path. Rounds are written.
+    Minima are aggregates that combine before their shuffle; a hub's label, and a label that very
+    many nodes have, are looked up by broadcast.
     """
     both = scratch.write(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "both")
+    big = both.limit(hot_rows + 1).count() > hot_rows
+    hot = lambda df, c: hot_keys(df.groupBy(c).agg(F.count(F.lit(1)).alias("n")), c, "n", hot_rows) if big else []
+    hubs = hot(both, "b")
     labels = scratch.write(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "labels")
     while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("seen"))
-        step = labels.join(near, "node").select("node", F.least("root", "seen").alias("root"), F.col("root").alias("old"))
+        near = lookup(both, labels.select(F.col("node").alias("b"), "root"), "b", hubs).groupBy(F.col("a").alias("node")).agg(F.min("root").alias("seen"))
+        step = scratch.write(labels.join(near, "node").select("node", F.least("root", "seen").alias("root"), F.col("root").alias("old")), "step")
         jump = step.select(F.col("node").alias("root"), F.col("root").alias("up"))
-        after = scratch.write(step.join(jump, "root", "left").select("node", F.coalesce("up", "root").alias("root"), "old"), "labels")
+        after = scratch.write(lookup(step, jump, "root", hot(step, "root"), "left").select("node", F.coalesce("up", "root").alias("root"), "old"), "labels")
         done = after.where("root <> old").isEmpty()
         scratch.drop(labels)
+        scratch.drop(step)
         labels = after
         if done:
             return labels.select("node", "root")

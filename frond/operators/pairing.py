@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from frond.operators.skew import HOT_ROWS, hot_of, lookup
+
 
 def pair_status(images: DataFrame, labels: DataFrame, key: str) -> DataFrame:
     """JN-01: (key, status): paired, missing_label or orphan_label, from a full outer join of keys.
@@ -37,10 +39,14 @@ def mask_status(images: DataFrame, masks: DataFrame, key: str) -> DataFrame:
     return j.select(key, status.alias("status"))
 
 
-def first_match(left: DataFrame, right: DataFrame, key: str, order: Column, keep: list[str]) -> DataFrame:
-    """JN-05: inner join in which each key of the right counts once, by its first row in ``order``."""
+def first_match(left: DataFrame, right: DataFrame, key: str, order: Column, keep: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """JN-05: inner join in which each key of the right counts once, by its first row in ``order``.
+
+    Keys of very many left rows are looked up by broadcast.
+    """
     one = right.where(F.col(key).isNotNull()).groupBy(key).agg(F.min_by(F.struct(*keep), order).alias("r"))
-    return left.join(one, key).select(*left.columns, *[F.col(f"r.{k}").alias(k) for k in keep])
+    got = lookup(left, one, key, hot_of(left, key, hot_rows))
+    return got.select(*left.columns, *[F.col(f"r.{k}").alias(k) for k in keep])
 
 
 def with_default(left: DataFrame, dim: DataFrame, key: str, value: str, default: Column) -> DataFrame:

@@ -26,9 +26,13 @@ def argmax(p: Column) -> Column:
 
 
 def softmax(x: Column) -> Column:
-    """MTH-07: exponentials over their sum, shifted by the maximum so that none overflows."""
-    e = F.transform(x, lambda v: F.exp(v - F.array_max(x)))
-    return F.transform(e, lambda v: v / F.aggregate(e, F.lit(0.0), lambda a, b: a + b))
+    """MTH-07: exponentials over their sum, shifted by the maximum so that none overflows.
+
+    Maximum and sum are computed once for each array, as fields of a struct.
+    """
+    top = F.transform(F.array(F.struct(x.alias("x"), F.array_max(x).alias("m"))), lambda s: F.transform(s["x"], lambda v: F.exp(v - s["m"])))
+    summed = F.transform(top, lambda e: F.struct(e.alias("e"), F.aggregate(e, F.lit(0.0), lambda a, b: a + b).alias("t")))
+    return F.get(F.transform(summed, lambda s: F.transform(s["e"], lambda v: v / s["t"])), F.lit(0))
 
 
 def keep_views(views: DataFrame, group: str, view: str, p: str, least_conf: float = 0.5) -> DataFrame:

@@ -21,6 +21,13 @@ def hot_keys(counts: DataFrame, key: str, n: str, hot_rows: int = HOT_ROWS) -> l
     return [r[0] for r in counts.where(F.col(n) > least).select(key).limit(MAX_HOT_KEYS).collect()]
 
 
+def hot_of(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
+    """The hot keys of a column; a table of at most ``hot_rows`` rows can have none and is not searched."""
+    if df.limit(hot_rows + 1).count() <= hot_rows:
+        return []
+    return hot_keys(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")), key, "n", hot_rows)
+
+
 def lookup(big: DataFrame, small: DataFrame, key: str, hot: list, how: str = "inner") -> DataFrame:
     """Equi-join of ``big`` with a table of unique keys, the hot keys' rows staying where they are.
 
@@ -40,21 +47,23 @@ def lookup(big: DataFrame, small: DataFrame, key: str, hot: list, how: str = "in
     return out.unionByName(big.where(F.col(key).isNull()).select("*", *new))
 
 
-def bucketed_rank(df: DataFrame, keys: list[str], order: Column, tie: Column, out: str, buckets: int = 256) -> DataFrame:
+def bucketed_rank(df: DataFrame, keys: list[str], order: Column, tie: Column, out: str, buckets: int = 256, size: str | None = None) -> DataFrame:
     """Exact 1-based rank inside ``keys`` by (order, tie), with no group in a single task.
 
     ``order`` is a uniform double in [0, 1). Each group is cut into ``buckets`` ranges of it; a rank
     is the rows in earlier ranges, from counts that combine before their shuffle, plus the place in
     its own range. A group of n rows thus meets tasks of about n / buckets rows. Null keys form a
-    group like any other. ``tie`` should be unique for the rank to be repeatable.
+    group like any other. ``tie`` should be unique for the rank to be repeatable. ``size`` names a
+    column for the rows of the group.
     """
     b, before, at = "_bucket", "_before", "_order"
     cut = df.withColumn(at, order).withColumn(b, F.floor(F.col(at) * buckets).cast("int"))
     sizes = cut.groupBy(*keys, b).agg(F.count(F.lit(1)).alias("_n"))
     earlier = W.partitionBy(*keys).orderBy(b).rowsBetween(W.unboundedPreceding, -1)
-    sizes = sizes.select(*keys, b, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias(before))
+    total = [F.sum("_n").over(W.partitionBy(*keys)).alias(size)] if size else []
+    sizes = sizes.select(*keys, b, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias(before), *total)
     names = {k: f"_k{i}" for i, k in enumerate(keys)}
-    right = sizes.select(*[F.col(k).alias(v) for k, v in names.items()], F.col(b).alias("_kb"), before)
+    right = sizes.select(*[F.col(k).alias(v) for k, v in names.items()], F.col(b).alias("_kb"), before, *([size] if size else []))
     same = F.col(b) == F.col("_kb")
     for k, v in names.items():
         same = same & F.col(k).eqNullSafe(F.col(v))

@@ -17,12 +17,10 @@ def stratified_split(df: DataFrame, cls: str, id_col: str, seed: int = 42, train
     """
     if not (0 <= train and 0 <= val and train + val <= 1 + 1e-5):
         raise ValueError("shares must be at least 0 and add to 1 at most")
-    sizes = df.groupBy(cls).agg(F.count(F.lit(1)).alias("_size")).withColumnRenamed(cls, "_cls")
-    ranked = bucketed_rank(df, [cls], unit_hash(seed, F.col(id_col)), F.col(id_col), "_rank", buckets=64)
-    j = ranked.join(sizes, F.col(cls).eqNullSafe(F.col("_cls")))
+    j = bucketed_rank(df, [cls], unit_hash(seed, F.col(id_col)), F.col(id_col), "_rank", buckets=64, size="_size")
     a, b = F.floor(F.col("_size") * train), F.floor(F.col("_size") * val)
     split = F.when(F.col("_rank") <= a, "train").when(F.col("_rank") <= a + b, "val").otherwise("test")
-    return j.withColumn("split", split).drop("_cls", "_size", "_rank")
+    return j.withColumn("split", split).drop("_size", "_rank")
 
 
 def seeded_sample(df: DataFrame, cls: str, id_col: str, k: int, seed: int = 42) -> DataFrame:
@@ -42,15 +40,38 @@ def renumber(df: DataFrame, order: list[str], out: str, start: int = 1) -> DataF
     return got.withColumn(out, F.col("_row") - 1 + start).drop("_key", "_row", "_chunk")
 
 
+def _numbered_name(name: Column, k: Column) -> Column:
+    text = k.cast("string")
+    padded = F.when(F.length(text) < 3, F.lpad(text, 3, "0")).otherwise(text)
+    return F.concat(F.regexp_replace(name, r"\.[^.]*$", ""), F.lit("_"), padded, F.regexp_extract(name, r"(\.[^.]*)$", 1))
+
+
 def collision_names(df: DataFrame, name: str, order: list[str]) -> DataFrame:
-    """PRJ-08: ``new_name``: the first user of a name keeps it, others get _NNN before the suffix."""
-    from frond.operators.chunking import number_rows
+    """PRJ-08: ``new_name``: the first user of a name keeps it, others get _NNN before the suffix.
 
-    got = number_rows(df, F.col(name), order, [F.col(c) for c in df.columns if c not in order])
-    stem = F.regexp_replace(name, r"\.[^.]*$", "")
-    suffix = F.regexp_extract(name, r"(\.[^.]*)$", 1)
-    new = F.when(F.col("_row") == 1, F.col(name)).otherwise(F.concat(stem, F.lit("_"), F.lpad((F.col("_row") - 1).cast("string"), 3, "0"), suffix))
-    return got.withColumn("new_name", new).drop("_key", "_row", "_chunk")
+    Numbers go up from 1 in ``order``, padded to at least three digits, and step over those that
+    would give a name already in use, so no two rows have one new name. Rows without a name are left
+    out. Numbers are found without a key gathering in one task: the rows and the names in use offer
+    one number each, the taken ones go, and what is left is numbered again.
+    """
+    from frond.operators.chunking import number_rows
+    from frond.storage import Scratch
+
+    scratch = Scratch(df.sparkSession)
+    got = scratch.write(number_rows(df, F.col(name), order, [F.col(c) for c in df.columns if c not in order], scratch=scratch).drop("_chunk"), "users")
+    more = got.where("_row > 1")
+    # names such as stem_NNN.suffix, by the name they would be given out for
+    used = got.where("_row = 1").select(F.regexp_extract("_key", r"^(.*)_([0-9]{3}|[1-9][0-9]{3,17})(\.[^.]*)?$", 2).try_cast("bigint").alias("k"), F.regexp_replace("_key", r"_[0-9]+(\.[^.]*)?$", "$1").alias("owner"))
+    counts = more.groupBy(F.col("_key").alias("owner")).agg(F.count(F.lit(1)).alias("n"))
+    used = scratch.write(used.where("k > 0").join(counts, "owner"), "used")
+    later = number_rows(used, F.col("owner"), ["k"], [F.col("n")], scratch=scratch).select(F.col("_key").alias("owner"), (F.col("n") + F.col("_row")).alias("k"))
+    some = used.select("owner").distinct()
+    offered = more.select(F.col("_key").alias("owner"), (F.col("_row") - 1).alias("k")).join(some, "owner", "left_semi").unionByName(later)
+    free = offered.join(used.select("owner", "k"), ["owner", "k"], "left_anti")
+    free = number_rows(free, F.col("owner"), ["k"], [], scratch=scratch).select(F.col("_key").alias("_owner"), (F.col("_row") + 1).alias("_at"), "k")
+    out = got.join(free, (F.col("_key") == F.col("_owner")) & (F.col("_row") == F.col("_at")), "left")
+    new = F.when(F.col("_row") == 1, F.col("_key")).otherwise(_numbered_name(F.col("_key"), F.coalesce("k", F.col("_row") - 1)))
+    return out.withColumn("new_name", new).select(*df.columns, "new_name")
 
 
 def fingerprint_ordered(df: DataFrame, cols: list[str], chunk_rows: int = 100_000) -> DataFrame:

@@ -29,17 +29,42 @@ def class_by_split(df: DataFrame, cls: str, split: str, splits: tuple[str, ...]
     return p.select(cls, *cols, reduce(lambda a, b: a + b, [F.coalesce(F.col(s), F.lit(0).cast("bigint")) for s in splits]).alias("total"))
 
 
+def middles(df: DataFrame, group: list[str], value: Column) -> DataFrame:
+    """(group, middle): exact median of the non-null values of each group, by the ranks of its middle rows.
+
+    Rows combine to counts of each value first; these are range-partitioned by value, and a value's
+    ranks are the counts before its partition plus those before it there. So neither a large group
+    nor a frequent value is one task, and no task holds a group's values.
+    """
+    from frond.storage import Scratch
+
+    counts = df.where(value.isNotNull()).groupBy(*group, value.cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.repartitionByRange("_v").sortWithinPartitions("_v").withColumn("_part", F.spark_partition_id())
+    counts = Scratch(df.sparkSession).write(counts, "counts")
+    per = counts.groupBy(*group, "_part").agg(F.sum("_n").alias("_m"))
+    before = F.coalesce(F.sum("_m").over(W.partitionBy(*group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    per = per.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_part").alias("_p"), before.alias("_before"), F.sum("_m").over(W.partitionBy(*group)).alias("_total"))
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)], F.col("_part") == F.col("_p"))
+    upto = F.col("_before") + F.sum("_n").over(W.partitionBy(*group, "_part").orderBy("_v").rowsBetween(W.unboundedPreceding, 0))
+    at = counts.join(per, same).withColumn("_upto", upto)
+    low, high = F.floor((F.col("_total") + 1) / 2), F.floor(F.col("_total") / 2) + 1
+    holds = lambda p: F.when((p <= F.col("_upto")) & (p > F.col("_upto") - F.col("_n")), F.col("_v"))
+    return at.groupBy(*group).agg(((F.max(holds(low)) + F.max(holds(high))) / 2).alias("middle"))
+
+
 def profile(df: DataFrame, group: list[str], value: Column) -> DataFrame:
     """AGG-03: (group, n, low, high, mean, middle, deviation) of non-null values; zeros for an empty group.
 
-    deviation is the population one.
+    deviation is the population one, middle the median.
     """
     v = value
     z = lambda c: F.coalesce(c, F.lit(0.0))
-    return df.groupBy(*group).agg(
-        F.count(v).alias("n"), z(F.min(v).cast("double")).alias("low"), z(F.max(v).cast("double")).alias("high"),
-        z(F.avg(v)).alias("mean"), z(F.median(v)).alias("middle"), z(F.stddev_pop(v)).alias("deviation"),
+    out = df.groupBy(*group).agg(
+        F.count(v).alias("n"), z(F.min(v).cast("double")).alias("low"), z(F.max(v).cast("double")).alias("high"), z(F.avg(v)).alias("mean"), z(F.stddev_pop(v)).alias("deviation"),
     )
+    m = middles(df, group, value).select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], "middle")
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)])
+    return out.join(m, same, "left").select(*group, "n", "low", "high", "mean", z(F.col("middle")).alias("middle"), "deviation")
 
 
 def conditional_counts(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
@@ -128,18 +153,28 @@ def repeated_in_group(df: DataFrame, group: str, value: str) -> DataFrame:
     return per.groupBy(group).agg(F.sum(F.col("k") - 1).alias("repeated")).where("repeated > 0")
 
 
+def imbalance(polys: DataFrame, cls: str) -> DataFrame:
+    """One row (ratio): valid polygons of the largest class over those of the smallest, two places; 1 without any.
+
+    Classes without a valid polygon are left out.
+    """
+    n = polys.where("reason = 'OK'").groupBy(cls).agg(F.count(F.lit(1)).alias("n"))
+    return n.agg(F.coalesce(F.round(F.max("n") / F.min("n"), 2), F.lit(1.0)).alias("ratio"))
+
+
 def quality_score(images: DataFrame, polys: DataFrame, leaks: DataFrame, ratio: DataFrame) -> DataFrame:
     """AGG-11: six capped penalties and the weighted score, in one row.
 
-    images: is_corrupted, label_exists, is_healthy, polygon_count. polys: reason. leaks and ratio:
-    one row (n) and (ratio). The structure part has no penalty. An empty set of images scores 0 in all.
+    images: is_corrupted, label_exists, is_healthy, polygon_count. polys: reason. leaks: rows (n),
+    added up, as ``pairwise_shared`` gives them. ratio: one row (ratio), see ``imbalance``. The
+    structure part has no penalty. An empty set of images scores 0 in all.
     """
     i = images.agg(
         F.count(F.lit(1)).alias("total"), F.count_if(F.coalesce("is_corrupted", F.lit(False))).alias("corrupt"), F.count_if(~F.coalesce("label_exists", F.lit(False))).alias("missing"),
         F.count_if(F.coalesce(F.col("is_healthy") & (F.col("polygon_count") > 0), F.lit(False))).alias("violations"),
     )
     p = polys.agg(F.count_if(F.col("reason") != "OK").alias("invalid"))
-    one = i.crossJoin(p).crossJoin(leaks.select(F.col("n").alias("leaks"))).crossJoin(ratio.select("ratio"))  # single rows
+    one = i.crossJoin(p).crossJoin(leaks.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("leaks"))).crossJoin(ratio.select("ratio"))  # single rows
     cut = lambda most, x: F.lit(100.0) - F.least(F.lit(float(most)), x)
     one = (
         one.withColumn("structure", F.lit(100.0))
@@ -162,7 +197,7 @@ def nearest_to_median(df: DataFrame, group: str, id_col: str, value: str) -> Dat
     The median is an aggregate joined back; the choice is one too. Null and NaN values take no part.
     """
     ok = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    m = ok.groupBy(group).agg(F.median(value).alias("_m"))
+    m = middles(ok, [group], F.col(value)).withColumnRenamed("middle", "_m")
     gap = F.abs(F.col(value) - F.col("_m"))
     return ok.join(m, group).groupBy(group).agg(F.min(F.struct(gap.alias("g"), F.col(id_col).alias("id"))).alias("b")).select(group, F.col("b.id").alias(id_col))
 

@@ -10,8 +10,9 @@ from frond.functions import labels as L
 from frond.functions import text as T
 from frond.operators import dedup, pairing, predictions, splits, stats
 from frond.operators import select as sel
-from frond.operators.skew import lookup
+from frond.operators.skew import hot_of, lookup
 from frond.plans.tables import table
+from frond.storage import Scratch
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -52,9 +53,9 @@ def diseases(spark, d):
 
 
 def views(spark, d):
-    """Probability vectors of views: softmax of the first ten numbers of an embedding, by label."""
-    e = table(spark, d, "embeddings").where("vec_id is not null and size(embedding) >= 10")
-    return e.select("label", F.col("vec_id").alias("view"), predictions.softmax(F.transform(F.slice("embedding", 1, 10), lambda v: v.cast("double") * 8)).alias("p"))
+    """Probability vectors of views: softmax of an embedding's numbers, by label."""
+    e = table(spark, d, "embeddings").where("vec_id is not null and size(embedding) > 0")
+    return e.select("label", F.col("vec_id").alias("view"), predictions.softmax(F.transform("embedding", lambda v: v.cast("double") * 30)).alias("p"))
 
 
 _FILE = r"""array_to_string(list_reduce(list_prepend([]::varchar[], list_transform(list_filter(string_split(regexp_replace(replace(replace(regexp_replace(
@@ -84,7 +85,7 @@ _POLY = f"""{_LINES},
 poly as (select file_id, line_no, t[1]::integer as class_id, list_transform(t[2:], lambda x: x::double) as v, row_number() over (partition by file_id, line order by line_no) as again from tk)"""
 _UNIT = "cast(('0x' || substr(sha256('{s}:' || {c}), 1, 13))::bigint as double) / 4503599627370496.0"
 _VIEWS = """vw as (
-  select label, vec_id as view, list_transform(embedding[1:10], lambda v: v::double * 8) as x from embeddings where vec_id is not null and len(embedding) >= 10),
+  select label, vec_id as view, list_transform(embedding, lambda v: v::double * 30) as x from embeddings where vec_id is not null and len(embedding) > 0),
 pr as (select label, view, list_transform(list_transform(x, lambda v: exp(v - list_max(x))), lambda v: v / list_sum(list_transform(x, lambda u: exp(u - list_max(x))))) as p from vw),
 cf as (select *, list_max(p) as conf, list_position(p, list_max(p)) - 1 as top, count(*) over (partition by label) as n from pr),
 pl as (select *, count(*) filter (where conf >= 0.5) over (partition by label) as good, row_number() over (partition by label order by conf desc, view) as place,
@@ -182,10 +183,11 @@ def set06_removals(spark, d):
     return a.unionByName(dedup.within_split(i, "digest", "image_id").select("image_id")).distinct()
 
 
-@query("with e as (select vec_id, embedding as v, list_sum(list_transform(embedding, lambda x: x::double)) / 64 as m from embeddings where len(embedding) = 64) select vec_id, len(list_filter(v, lambda x: x::double > m)) as ones from e")
+@query("""with e as (select vec_id, embedding as v, list_reduce(list_prepend(0.0::double, list_transform(embedding, lambda x: x::double)), lambda a, x: a + x) / 64 as m from embeddings where len(embedding) = 64)
+ select vec_id, list_aggregate(list_transform(v, lambda x: case when x::double > m then '1' else '0' end), 'string_agg', '') as bits from e""")
 def mth10_mean_hash(spark, d):
     e = table(spark, d, "embeddings").where("size(embedding) = 64")
-    return e.select("vec_id", F.bit_count(T.mean_hash(F.transform("embedding", lambda v: v.cast("double")))).cast("bigint").alias("ones"))
+    return e.select("vec_id", F.lpad(F.bin(T.mean_hash(F.transform("embedding", lambda v: v.cast("double")))), 64, "0").alias("bits"))
 
 
 # ---- pairing ----------------------------------------------------------------------------------
@@ -304,7 +306,8 @@ def q16_name_collisions(spark, d):
 def jn15_disease_or_crop(spark, d):
     m = table(spark, d, "raw_pairs").select(K.digest(F.col("sha256_hash")).alias("digest"), K.name_key(F.col("disease_name")).alias("disease")).where("digest is not null")
     m = m.groupBy("digest").agg(F.min("disease").alias("disease"))
-    return lookup(images(spark, d).select("image_id", "digest", "crop"), m, "digest", [], "left").select("image_id", F.coalesce("disease", "crop").alias("disease"))
+    i = images(spark, d).select("image_id", "digest", "crop")
+    return lookup(i, m, "digest", hot_of(i, "digest"), "left").select("image_id", F.coalesce("disease", "crop").alias("disease"))
 
 
 # ---- distributions and scores -----------------------------------------------------------------
@@ -510,20 +513,20 @@ def snk05_label_text(spark, d):
 
 @query(f"""with {_IMG}, {_AUD}, {_POLY}, {_CROSS}, a as (select *, {_AREA} as area from poly),
  i as (select count(*) as total, count(*) filter (where is_corrupted) as corrupt, count(*) filter (where not label_exists) as missing, count(*) filter (where is_healthy and polygon_count > 0) as viol from aud),
- p as (select count(*) filter (where again > 1 or len(v) % 2 = 1 or len(list_filter(v, lambda x: x < 0 or x > 1)) > 0 or c.file_id is not null or area <= 0.00001) as invalid from a left join crossing c on a.file_id = c.file_id and a.line_no = c.line_no),
- l as (select count(*) as leaks from (select digest from img where digest is not null and split is not null group by digest having count(distinct split) > 1)),
- n as (select count(*) as n from poly group by class_id), r as (select round(max(n) / min(n), 2) as ratio from n),
+ p as (select count(*) filter (where again > 1 or len(v) % 2 = 1 or len(v) < 6 or len(list_filter(v, lambda x: x < 0 or x > 1)) > 0 or c.file_id is not null or area <= 0.00001) as invalid from a left join crossing c on a.file_id = c.file_id and a.line_no = c.line_no),
+ h as (select digest, bool_or(split = 'train') as a, bool_or(split = 'val') as b, bool_or(split = 'test') as c from img where digest is not null and split is not null group by digest),
+ l as (select count(*) filter (where a and b) + count(*) filter (where a and c) + count(*) filter (where b and c) as leaks from h),
+ n as (select count(*) as n from a left join crossing c on a.file_id = c.file_id and a.line_no = c.line_no
+   where again = 1 and len(v) % 2 = 0 and len(v) >= 6 and len(list_filter(v, lambda x: x < 0 or x > 1)) = 0 and c.file_id is null and area > 0.00001 group by class_id),
+ r as (select coalesce(round(max(n) / min(n), 2), 1.0) as ratio from n),
  s as (select total, 100.0 as structure, 100 - least(50.0, corrupt * 10.0) as image, 100 - least(30.0, missing * 5.0) - least(50.0, viol * 15.0) as label, 100 - least(40.0, invalid * 3.0) as polygon, 100 - least(60.0, leaks * 15.0) as split,
    case when ratio > 5 then 100 - least(25.0, (ratio - 5) * 2.0) else 100.0 end as balance, corrupt, leaks, invalid, viol from i, p, l, r)
  select total, structure::double as structure, image::double as image, label::double as label, polygon::double as polygon, split::double as split, balance::double as balance,
    round(structure * 0.15 + image * 0.2 + label * 0.25 + polygon * 0.2 + split * 0.1 + balance * 0.1, 1)::double as overall, corrupt = 0 and leaks = 0 and invalid = 0 and viol = 0 and round(structure * 0.15 + image * 0.2 + label * 0.25 + polygon * 0.2 + split * 0.1 + balance * 0.1, 1) >= 80 as ready from s""")
 def agg11_quality(spark, d):
     polys = L.audit_polygons(table(spark, d, "label_files").select("file_id", "content"))
-    i = images(spark, d)
-    leaks = dedup.leaking_keys(i, "digest").agg(F.count(F.lit(1)).alias("n"))
-    counts = _objects(spark, d).groupBy("class_id").agg(F.count(F.lit(1)).alias("n"))
-    ratio = counts.agg(F.coalesce(F.round(F.max("n") / F.min("n"), 2), F.lit(1.0)).alias("ratio"))
-    return stats.quality_score(audits(spark, d), polys, leaks, ratio)
+    polys = Scratch(spark).write(polys.select("class_id", "reason"), "polygons")
+    return stats.quality_score(audits(spark, d), polys, dedup.pairwise_shared(images(spark, d), "digest"), stats.imbalance(polys, "class_id"))
 
 
 # ---- order, splits and samples ----------------------------------------------------------------
@@ -547,8 +550,11 @@ def wn02_renumber(spark, d):
     return splits.renumber(r, ["requested_at", "rec_id"], "number").select("rec_id", "number")
 
 
-@query(r"""with r as (select image_id, filename, row_number() over (partition by filename order by image_id) as r from dataset_images where filename is not null)
- select image_id, case when r = 1 then filename else regexp_replace(filename, '\.[^.]*$', '') || '_' || lpad((r - 1)::varchar, 3, '0') || regexp_extract(filename, '(\.[^.]*)$', 1) end as new_name from r""")
+@query(r"""with r as (select image_id, filename, row_number() over (partition by filename order by image_id) - 1 as m, count(*) over (partition by filename) as n from dataset_images where filename is not null),
+ names as (select distinct filename as f from r), dots as (select f, regexp_replace(f, '\.[^.]*$', '') as stem, regexp_extract(f, '(\.[^.]*)$', 1) as suffix from names),
+ taken as (select regexp_replace(stem, '_[0-9]+$', '') || suffix as owner, list(regexp_extract(stem, '_([0-9]+)$', 1)::bigint) as ks from dots where regexp_matches(stem, '_([0-9]{3}|[1-9][0-9]{3,17})$') group by 1),
+ k as (select r.*, case when ks is null then m else list_filter(range(1, n + len(ks) + 1), lambda x: not list_contains(ks, x))[m] end as k from r left join taken t on t.owner = r.filename)
+ select image_id, case when m = 0 then filename else regexp_replace(filename, '\.[^.]*$', '') || '_' || case when k < 1000 then lpad(k::varchar, 3, '0') else k::varchar end || regexp_extract(filename, '(\.[^.]*)$', 1) end as new_name from k""")
 def prj08_collision_names(spark, d):
     i = table(spark, d, "dataset_images").select("image_id", "filename")
     return splits.collision_names(i, "filename", ["image_id"]).select("image_id", "new_name")
@@ -623,21 +629,23 @@ def top12_kept_views(spark, d):
     return predictions.keep_views(views(spark, d), "label", "view", "p").select("label", "view")
 
 
-@query(f"""with {_VIEWS}, x as (select label, conf, unnest(p) as q, unnest(range(0, 10))::integer as c from kept), w as (select label, c, sum(q * conf) / sum(conf) as w from x group by all),
- b as (select label, c, row_number() over (partition by label order by w desc, c) as r from w)
- select k.label, c as final_class, count(*) as used, count(*) filter (where top = c) as agreeing from kept k join b on k.label = b.label and r = 1 group by all""")
+@query(f"""with {_VIEWS}, x as (select label, conf, unnest(p) as q, unnest(range(0, len(p)))::integer as c from kept), w as (select label, c, sum(q * conf) / sum(conf) as w from x group by all),
+ b as (select label, c, w, row_number() over (partition by label order by w desc, c) as r from w)
+ select k.label, c as final_class, round(w, 9) as weight, count(*) as used, round(avg((top = c)::int), 9) as agreement from kept k join b on k.label = b.label and r = 1 group by k.label, c, w""")
 def agg13_weighted_vote(spark, d):
-    got = predictions.decide(predictions.keep_views(views(spark, d), "label", "view", "p"), "label", "p")
-    return got.select("label", "final_class", "used", F.round(F.col("agreement") * F.col("used")).cast("bigint").alias("agreeing"))
+    kept = predictions.keep_views(views(spark, d), "label", "view", "p")
+    w = predictions.weighted_vote(kept, "label", "p").withColumnRenamed("class_id", "final_class")
+    got = predictions.decide(kept, "label", "p").join(w, ["label", "final_class"])
+    return got.select("label", "final_class", F.round("weight", 9).alias("weight"), "used", F.round("agreement", 9).alias("agreement"))
 
 
-@query(f"with {_VIEWS}, v as (select label, top::integer as class_id, count(*) as votes from kept group by all) select label, class_id, votes, votes / sum(votes) over (partition by label) >= 0.25 as issue from v")
+@query(f"with {_VIEWS}, v as (select label, top::integer as class_id, count(*) as votes, avg(conf) as c from kept group by label, top) select label, class_id, votes, round(votes / sum(votes) over (partition by label), 9) as ratio, round(c, 9) as mean_confidence, votes / sum(votes) over (partition by label) >= 0.25 as issue from v")
 def agg14_vote_shares(spark, d):
     got = predictions.vote_shares(predictions.keep_views(views(spark, d), "label", "view", "p"), "label", "p")
-    return got.select("label", "class_id", "votes", "issue")
+    return got.select("label", "class_id", "votes", F.round("ratio", 9).alias("ratio"), F.round("mean_confidence", 9).alias("mean_confidence"), "issue")
 
 
-@query(f"""with {_VIEWS}, x as (select label, conf, unnest(p) as q, unnest(range(0, 10))::integer as c from kept), w as (select label, c, sum(q * conf) / sum(conf) as w from x group by all),
+@query(f"""with {_VIEWS}, x as (select label, conf, unnest(p) as q, unnest(range(0, len(p)))::integer as c from kept), w as (select label, c, sum(q * conf) / sum(conf) as w from x group by all),
  b as (select label, c, row_number() over (partition by label order by w desc, c) as r from w) select label, c as class_id, r::integer as place from b where r <= 3""")
 def top02_top_classes(spark, d):
     w = predictions.weighted_vote(predictions.keep_views(views(spark, d), "label", "view", "p"), "label", "p")
@@ -729,11 +737,11 @@ def str10_sizes(spark, d):
     return i.select("image_id", "resolution", s["w"].alias("w"), s["h"].alias("h"))
 
 
-@query("select audit_id, floor(1000 * round(least(1.0, width::double * height / 2073600.0) * 0.2 + case when file_size > 0 then least(1.0, (file_size / 1000.0) / 500.0) else 0 end * 0.4 + case when mask_coverage_pct < 40 or mask_coverage_pct > 220 then 0.2 when mask_coverage_pct between 100 and 180 then 1 else greatest(0.2, 1 - abs(mask_coverage_pct - 140) / 100.0) end * 0.2 + least(1.0, channels * 10 / 50.0) * 0.2, 4))::bigint as quality from audit_images where width > 0 and height > 0 and mask_coverage_pct between 0 and 100 and not isnan(mask_coverage_pct)")
+@query("select audit_id, round(least(1.0, width::double * height / 2073600.0) * 0.2 + case when file_size > 0 then least(1.0, (file_size / 1000.0) / 500.0) else 0 end * 0.4 + case when mask_coverage_pct < 40 or mask_coverage_pct > 220 then 0.2 when mask_coverage_pct between 100 and 180 then 1 else greatest(0.2, 1 - abs(mask_coverage_pct - 140) / 100.0) end * 0.2 + least(1.0, channels * 10 / 50.0) * 0.2, 4)::double as quality from audit_images where width > 0 and height > 0 and mask_coverage_pct between 0 and 100 and not isnan(mask_coverage_pct)")
 def mth02_quality(spark, d):
     a = table(spark, d, "audit_images").where("width > 0 and height > 0 and mask_coverage_pct between 0 and 100")
     q = T.image_quality(F.col("width"), F.col("height"), F.col("file_size") / 1000.0, F.col("mask_coverage_pct"), F.col("channels") * 10)
-    return a.select("audit_id", F.floor(q * 1000).cast("bigint").alias("quality"))
+    return a.select("audit_id", q.alias("quality"))
 
 
 @query("select event_id, event_type, (json_extract(props, '$.k'))::bigint as k from events")

@@ -182,8 +182,7 @@ def test_selections(spark):
     far = S.farthest_point(df, "g", "id", "fp", "q", 8).collect()
     assert len(far) == 16 and all(max((r for r in rows if r[0] == g), key=lambda r: (r[3], -r[1]))[1] == next(r.id for r in far if r.g == g and r.place == 1) for g in "ab")
     assert S.greedy_distinct(df.limit(0), "g", "id", "fp", "q", 3).count() == 0
-    km = S.kmeans_diverse(df, "g", "id", ["fp", "q"], "q", 5)
-    assert 1 <= km.count() <= 5
+
 
 
 def test_kmeans_in_each_group(spark):
@@ -198,3 +197,65 @@ def test_kmeans_in_each_group(spark):
     same = S.kmeans_by_group(df.where("g = 'c'"), "g", "id", ["x"], "q", 5).collect()
     assert len(same) == 5 and {229, 228, 227, 226} <= {r.id for r in same} and sum(r.cluster is None for r in same) == 4
     assert S.kmeans_by_group(df, "g", "id", ["x"], "q", 1).count() == 4 and S.kmeans_by_group(df, "g", "id", ["x"], "q", 0).count() == 0
+
+
+@pytest.mark.parametrize("k", [3, 12, 500])
+def test_large_groups_are_selected_in_steps_with_the_same_result(spark, k):
+    rng = random.Random(k)
+    base = [rng.getrandbits(64) for _ in range(25)]
+    rows = []
+    for i in range(400):
+        fp = rng.choice(base)
+        for _ in range(rng.randrange(0, 9)):
+            fp ^= 1 << rng.randrange(64)
+        hist = [rng.random() for _ in range(6)]
+        rows.append((rng.choice(["a", "a", "b", None]), i, None if rng.random() < 0.05 else fp - (1 << 64) if fp >> 63 else fp, rng.choice([None, 0.1, 0.5, rng.random()]), hist if rng.random() < 0.9 else None))
+    df = spark.createDataFrame(rows, "g string, id int, fp bigint, q double, h array<double>")
+    for h in (None, "h"):
+        want = sorted(map(str, S.greedy_distinct(df, "g", "id", "fp", "q", k, histogram=h).collect()))
+        assert sorted(map(str, S.greedy_distinct(df, "g", "id", "fp", "q", k, histogram=h, max_group=150, block=20).collect())) == want
+    if k < 100:
+        want = sorted(map(str, S.farthest_point(df, "g", "id", "fp", "q", k).collect()))
+        assert sorted(map(str, S.farthest_point(df, "g", "id", "fp", "q", k, max_group=150).collect())) == want
+
+
+def test_histograms_that_correlate_resemble_each_other(spark):
+    df = spark.createDataFrame([("a", 1, 0, 0.9, [1.0, 2.0, 3.0]), ("a", 2, -1, 0.8, [2.0, 4.0, 6.5]), ("a", 3, 255 << 20, 0.7, [3.0, 1.0, 0.0]), ("a", 4, None, 0.1, None)], "g string, id int, fp bigint, q double, h array<double>")
+    got = {r.id: (r.place, r.filled) for r in S.greedy_distinct(df, "g", "id", "fp", "q", 3, min_bits=5, histogram="h").collect()}
+    assert got == {1: (1, False), 3: (2, False), 4: (3, False)}
+
+
+def test_names_in_use_are_stepped_over(spark):
+    rows = [(i, "x.jpg") for i in range(1005)] + [(2000, "a.jpg"), (2001, "a.jpg"), (2002, "a_001.jpg"), (2003, "a.jpg"), (2004, "a_001.jpg"), (2005, None), (2006, "n"), (2007, "n"), (2008, "x_0500.jpg"), (2009, "x_1000.jpg")]
+    got = {r.id: r.new_name for r in Q.collision_names(spark.createDataFrame([(*r, "z") for r in rows], "id int, name string, k string"), "name", ["id"]).collect()}
+    assert len(got) == len(set(got.values())) == len(rows) - 1
+    assert got[1] == "x_001.jpg" and got[999] == "x_999.jpg" and got[1000] == "x_1001.jpg" and got[1004] == "x_1005.jpg"
+    assert [got[i] for i in range(2000, 2005)] == ["a.jpg", "a_002.jpg", "a_001.jpg", "a_003.jpg", "a_001_001.jpg"] and got[2007] == "n_001"
+
+
+def test_middles(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(1)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([1, 1, 1, 2, 5, rng.randrange(50), None])) for _ in range(300)] + [("c", None), ("d", 4)]
+    df = spark.createDataFrame(rows, "g string, v int")
+    want = {r.g: r.m for r in df.where("v is not null").groupBy("g").agg(F.median("v").alias("m")).collect()}
+    assert {r.g: r.middle for r in T.middles(df, ["g"], F.col("v")).collect()} == want
+    assert T.middles(df.limit(0), ["g"], F.col("v")).count() == 0
+
+
+def test_quality_counts_every_pair_of_splits_and_valid_polygons(spark, leaks):
+    images = spark.createDataFrame([(False, True, False, 1)] * 4, "is_corrupted boolean, label_exists boolean, is_healthy boolean, polygon_count int")
+    polys = spark.createDataFrame([(0, "OK")] * 8 + [(1, "OK")] + [(1, "no_area")] * 5 + [(2, "malformed")], "class_id int, reason string")
+    got = T.quality_score(images, polys, D.pairwise_shared(leaks, "sha"), T.imbalance(polys, "class_id")).first()
+    assert got.split == 100 - 45 and got.balance == 100 - (8 - 5) * 2 and got.polygon == 100 - 18 and not got.ready
+
+
+def test_hubs_and_crowded_bands(spark):
+    edges = spark.createDataFrame([(0, i) for i in range(1, 40)] + [(39, 40), (50, 51)], "a bigint, b bigint")
+    got = {r.node: r.root for r in D.min_label(edges, Scratch(spark), hot_rows=5).collect()}
+    assert got == {i: 0 for i in range(41)} | {50: 50, 51: 50}
+    vals = sorted({sum(1 << b for b in random.Random(i).sample(range(64), i % 4)) for i in range(90)})
+    df = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for v in vals], "fp bigint")
+    pairs = lambda h: {(r.a, r.b, r.distance) for r in D.hamming_pairs(df, 3, h).collect()}
+    assert pairs(5) == pairs(10**6) and pairs(5)
