@@ -61,16 +61,17 @@ def collision_names(df: DataFrame, name: str, order: list[str]) -> DataFrame:
     got = scratch.write(number_rows(df, F.col(name), order, [F.col(c) for c in df.columns if c not in order], scratch=scratch).drop("_chunk"), "users")
     more = got.where("_row > 1")
     # names such as stem_NNN.suffix, by the name they would be given out for
-    used = got.where("_row = 1").select(F.regexp_extract("_key", r"^(.*)_([0-9]{3}|[1-9][0-9]{3,17})(\.[^.]*)?$", 2).try_cast("bigint").alias("k"), F.regexp_replace("_key", r"_[0-9]+(\.[^.]*)?$", "$1").alias("owner"))
-    counts = more.groupBy(F.col("_key").alias("owner")).agg(F.count(F.lit(1)).alias("n"))
-    used = scratch.write(used.where("k > 0").join(counts, "owner"), "used")
-    later = number_rows(used, F.col("owner"), ["k"], [F.col("n")], scratch=scratch).select(F.col("_key").alias("owner"), (F.col("n") + F.col("_row")).alias("k"))
-    some = used.select("owner").distinct()
-    offered = more.select(F.col("_key").alias("owner"), (F.col("_row") - 1).alias("k")).join(some, "owner", "left_semi").unionByName(later)
-    free = offered.join(used.select("owner", "k"), ["owner", "k"], "left_anti")
-    free = number_rows(free, F.col("owner"), ["k"], [], scratch=scratch).select(F.col("_key").alias("_owner"), (F.col("_row") + 1).alias("_at"), "k")
-    out = got.join(free, (F.col("_key") == F.col("_owner")) & (F.col("_row") == F.col("_at")), "left")
-    new = F.when(F.col("_row") == 1, F.col("_key")).otherwise(_numbered_name(F.col("_key"), F.coalesce("k", F.col("_row") - 1)))
+    number = F.regexp_extract("_key", r"^(.*)_([0-9]{3}|[1-9][0-9]{3,17})(\.[^.]*)?$", 2).try_cast("bigint")
+    used = got.where("_row = 1").select(number.alias("_k"), F.regexp_replace("_key", r"_[0-9]+(\.[^.]*)?$", "$1").alias("_name"))
+    counts = more.groupBy(F.col("_key").alias("_name")).agg(F.count(F.lit(1)).alias("_n"))
+    used = scratch.write(used.where("_k > 0").join(counts, "_name"), "used")
+    later = number_rows(used, F.col("_name"), ["_k"], [F.col("_n")], scratch=scratch).select(F.col("_key").alias("_name"), (F.col("_n") + F.col("_row")).alias("_k"))
+    some = used.select("_name").distinct()
+    offered = more.select(F.col("_key").alias("_name"), (F.col("_row") - 1).alias("_k")).join(some, "_name", "left_semi").unionByName(later)
+    free = offered.join(used.select("_name", "_k"), ["_name", "_k"], "left_anti")
+    free = number_rows(free, F.col("_name"), ["_k"], [], scratch=scratch).select(F.col("_key").alias("_name"), (F.col("_row") + 1).alias("_at"), "_k")
+    out = got.join(free, (F.col("_key") == F.col("_name")) & (F.col("_row") == F.col("_at")), "left")
+    new = F.when(F.col("_row") == 1, F.col("_key")).otherwise(_numbered_name(F.col("_key"), F.coalesce("_k", F.col("_row") - 1)))
     return out.withColumn("new_name", new).select(*df.columns, "new_name")
 
 
