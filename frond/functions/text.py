@@ -95,9 +95,18 @@ def contains_either(a: Column, b: Column) -> Column:
     return a.contains(b) | b.contains(a)
 
 
-def issue_list(parts: list[Column]) -> Column:
-    """STR-17: non-null parts joined by a comma; blanks and hyphens at the ends go."""
-    return F.regexp_replace(F.concat_ws(", ", *parts), r"^[ \-]+|[ \-]+$", "")
+def issue_list(parts: list[Column], between: str = ", ") -> Column:
+    """STR-17: non-null parts joined; blanks and hyphens at the ends go."""
+    return F.regexp_replace(F.concat_ws(between, *parts), r"^[ \-]+|[ \-]+$", "")
+
+
+def allowed_prefix(name: Column, allowed: list[str]) -> Column:
+    """STR-14: what stands before the first underscore if it is not among ``allowed``; null if it is.
+
+    Compared in lower case. A name without an underscore is its own prefix; a null name has none.
+    """
+    p = F.lower(F.substring_index(name, "_", 1))
+    return F.when(~p.isin(allowed), p)
 
 
 def hamming(a: Column, b: Column) -> Column:
@@ -148,8 +157,3 @@ def frame_seconds(frame: Column, fps: Column) -> Column:
 def checked_confidence(c: Column) -> Column:
     """PRJ-04: why a confidence is refused: missing, not a number, below 0 or above 100; null if it is fine."""
     return F.when(c.isNull(), "missing").when(F.isnan(c), "nan").when(c < 0, "negative").when(c > 100, "above_100")
-
-
-def with_aliases(*cols: Column) -> Column:
-    """PRJ-04: the first given of several names of one field."""
-    return F.coalesce(*cols)

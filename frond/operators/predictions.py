@@ -6,18 +6,95 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from frond.functions import text as T
 
-def top_items(scores: DataFrame, group: str, item: str, prob: Column, ordinal: Column, k: int = 3, where: Column | None = None) -> DataFrame:
-    """TOP-01, PRJ-03: (group, item, confidence, place): the k best of each group.
+
+def top_items(scores: DataFrame, group: str, item: str, prob: Column, ordinal: Column, k: int = 3, where: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """TOP-01, PRJ-03: (group, item, kept columns, confidence, place): the k best of each group.
 
     The optional filter comes first; confidence is the probability times 100, rounded to two places
     before ranking; ties follow ``ordinal``; what is kept is not renormalised. Spark turns the bound
     on the row number into a group limit before the shuffle, so a group sends k rows a partition.
     """
     s = scores if where is None else scores.where(where)
-    s = s.select(group, F.col(item).alias("item"), F.round(prob * 100, 2).alias("confidence"), ordinal.alias("ord")).where("confidence is not null")
-    w = W.partitionBy(group).orderBy(F.desc("confidence"), "ord", "item")
-    return s.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k).select(group, F.col("item").alias(item), "confidence", "place")
+    s = s.select(group, F.col(item).alias("_item"), *keep, F.round(prob * 100, 2).alias("confidence"), ordinal.alias("_ord")).where("confidence is not null and not isnan(confidence)")
+    w = W.partitionBy(group).orderBy(F.desc("confidence"), "_ord", "_item")
+    return s.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k).select(group, F.col("_item").alias(item), *keep, "confidence", "place")
+
+
+#: What a request may hold, and the other name of three of its fields.
+RANGES = {"nitrogen": (0.0, 500.0), "phosphorus": (0.0, 300.0), "potassium": (0.0, 500.0), "temperature": (5.0, 50.0), "humidity": (0.0, 100.0), "ph": (3.5, 9.5)}
+ALIASES = {"nitrogen": "N", "phosphorus": "P", "potassium": "K"}
+CATEGORIES = ("vegetable", "fruit", "flower", "herb")
+
+
+def checked_requests(df: DataFrame) -> DataFrame:
+    """PRJ-04: df with ``reason``: the first thing wrong with a request, null if nothing is.
+
+    A field may be given under either of its names (any that the table has); the long one counts
+    first. In order of RANGES: "<field> missing" if both are null, "<field> out of range" beyond the
+    inclusive limits or NaN; then "category unknown" for one outside CATEGORIES. A null category
+    asks for none.
+    """
+    have = set(df.columns)
+    reason = F.lit(None).cast("string")
+    checks = []
+    for name, (low, high) in RANGES.items():
+        given = [F.col(c).cast("double") for c in (name, ALIASES.get(name)) if c in have]
+        v = F.coalesce(*given) if given else F.lit(None).cast("double")
+        checks += [(v.isNull(), f"{name} missing"), (F.isnan(v) | ~v.between(low, high), f"{name} out of range")]
+    if "category" in have:
+        checks.append((F.coalesce(~F.col("category").isin(*CATEGORIES), F.lit(False)), "category unknown"))
+    for wrong, text in reversed(checks):
+        reason = F.when(wrong, text).otherwise(reason)
+    return df.withColumn("reason", reason)
+
+
+def answer(class_name: Column, confidence: Column, issues: Column, unknown_below: float) -> Column:
+    """SNK-13: STRUCT<status, diagnosis, warning> of a prediction.
+
+    unknown if the confidence is below the least or nothing was predicted; healthy by the name, with
+    a warning if ``issues`` names diseases; else diseased, the diagnosis being "Crop - Disease".
+    """
+    d = T.crop_and_disease(class_name)
+    unknown = class_name.isNull() | F.coalesce(confidence < unknown_below, F.lit(True))
+    healthy = F.coalesce(d["healthy"], F.lit(False))
+    named = T.issue_list([d["crop"], d["disease"]], " - ")
+    return F.struct(
+        F.when(unknown, "unknown").when(healthy, "healthy").otherwise("diseased").alias("status"),
+        F.when(unknown, "Unknown").when(healthy, "Healthy").otherwise(named).alias("diagnosis"),
+        F.when(~unknown & healthy & (issues != ""), F.concat(F.lit("possible disease in part of the input: "), issues)).alias("warning"),
+    )
+
+
+def sharpest_in_time(frames: DataFrame, group: str, frame: str, sharpness: Column, n: int) -> DataFrame:
+    """TOP-04: (group, frame, place): the n sharpest frames of each group, numbered in the order of time.
+
+    A group of at most n frames is whole. Of equal sharpness the earlier frame counts; null is least.
+    """
+    w = W.partitionBy(group).orderBy(sharpness.desc_nulls_last(), frame)
+    best = frames.select(group, frame, F.row_number().over(w).alias("_r")).where(F.col("_r") <= n)
+    return best.select(group, frame, F.row_number().over(W.partitionBy(group).orderBy(frame)).alias("place"))
+
+
+def frame_views(frames: DataFrame, group: str, frame: str, w: Column, h: Column, mode: str = "three") -> DataFrame:
+    """JN-17, IMG-09: (group, frame, view, x, y, side_w, side_h): the views of each frame, by arithmetic.
+
+    The whole picture if square or in mode "squash"; else the centre square, or in mode "three" the
+    first, middle and last square along the longer side.
+    """
+    s = F.least(w, h)
+    cut = lambda f: F.struct(F.floor(F.when(w > h, (w - s) * f).otherwise(0)).cast("int").alias("x"), F.floor(F.when(w > h, 0).otherwise((h - s) * f)).cast("int").alias("y"), s.alias("side_w"), s.alias("side_h"))
+    whole = F.array(F.struct(F.lit(0).alias("x"), F.lit(0).alias("y"), w.alias("side_w"), h.alias("side_h")))
+    parts = F.array(*[cut(f) for f in ((0.5,) if mode == "center" else (0.0, 0.5, 1.0))])
+    boxes = whole if mode == "squash" else F.when(w == h, whole).otherwise(parts)
+    return frames.select(group, frame, F.posexplode(boxes).alias("view", "b")).select(group, frame, "view", "b.*")
+
+
+def best_views(views: DataFrame, group: list[str], view: str, p: str) -> DataFrame:
+    """WN-06, JN-17: (group, view, top, conf): of each frame the view of greatest confidence, the lower one on a tie."""
+    v = views.where(F.size(p) > 0).withColumn("conf", F.array_max(p)).withColumn("top", argmax(F.col(p)))
+    return best_per_group(v, group, [-F.col("conf"), F.col(view)], [view, "top", "conf"])
 
 
 def argmax(p: Column) -> Column:

@@ -217,3 +217,13 @@ def contiguous(df: DataFrame, col: str) -> DataFrame:
     d = df.where(F.col(col).isNotNull()).select(col).distinct()
     a = d.agg(F.count(F.lit(1)).alias("n"), F.min(col).alias("least"), F.max(col).alias("most"))
     return a.withColumn("contiguous", F.coalesce((F.col("least") == 0) & (F.col("most") == F.col("n") - 1), F.lit(False)))
+
+
+def extremes(df: DataFrame, healthy: Column, value: str, id_col: str, k: int) -> DataFrame:
+    """TOP-03: (side, id, value): the k largest of the healthy rows and the k smallest of the others.
+
+    The smaller id on a tie; rows of unknown health are on neither side. Each side is one top-k, to
+    which a partition sends k rows.
+    """
+    big = df.where(healthy).orderBy(F.desc(value), id_col).limit(k).select(F.lit("largest_healthy").alias("side"), id_col, value)
+    return big.unionByName(df.where(~healthy).orderBy(value, id_col).limit(k).select(F.lit("smallest_disease").alias("side"), id_col, value))

@@ -585,20 +585,21 @@ def wn08_evenly_spaced(spark, d):
     return g.select("label", F.array_join(splits.evenly_spaced(F.col("n"), F.lit(7)), ",").alias("places"))
 
 
-@query("""with r as (select distinct rec_id, request_id, crop, round(confidence, 2) as confidence from crop_recommendations where confidence is not null and not isnan(confidence) and request_id is not null),
+@query("""with r as (select distinct rec_id, request_id, crop, round(confidence / 100 * 100, 2) as confidence from crop_recommendations where confidence is not null and not isnan(confidence) and request_id is not null),
  p as (select *, row_number() over (partition by request_id order by confidence desc, rec_id, crop) as place from r) select request_id, crop, confidence, place::integer as place from p where place <= 3""")
 def top01_top3(spark, d):
-    r = table(spark, d, "crop_recommendations").where("confidence is not null and not isnan(confidence) and request_id is not null").select("rec_id", "request_id", "crop", F.round("confidence", 2).alias("c")).distinct()
-    w = predictions.W.partitionBy("request_id").orderBy(F.desc("c"), "rec_id", "crop")
-    return r.withColumn("place", F.row_number().over(w)).where("place <= 3").select("request_id", "crop", F.col("c").alias("confidence"), "place")
+    return predictions.top_items(_scores(spark, d), "request_id", "crop", F.col("prob"), F.col("rec_id"))
 
 
-@query(f"""with r as (select distinct rec_id, request_id, crop, {_KEY.format(c='category')} as k, round(confidence, 2) as confidence from crop_recommendations where confidence between 0 and 100 and request_id is not null),
+def _scores(spark, d):
+    r = table(spark, d, "crop_recommendations").where("request_id is not null")
+    return r.select("rec_id", "request_id", "crop", K.name_key(F.col("category")).alias("k"), (F.col("confidence") / 100).alias("prob")).distinct()
+
+
+@query(f"""with r as (select distinct rec_id, request_id, crop, {_KEY.format(c='category')} as k, round(confidence / 100 * 100, 2) as confidence from crop_recommendations where confidence between 0 and 100 and request_id is not null),
  p as (select *, row_number() over (partition by request_id order by confidence desc, rec_id, crop) as place from r where k = 'vegetable') select request_id, crop, confidence, place::integer as place from p where place <= 3""")
 def prj03_filtered_top3(spark, d):
-    r = table(spark, d, "crop_recommendations").where("confidence between 0 and 100 and request_id is not null").select("rec_id", "request_id", "crop", K.name_key(F.col("category")).alias("k"), (F.round("confidence", 2)).alias("c")).distinct()
-    w = predictions.W.partitionBy("request_id").orderBy(F.desc("c"), "rec_id", "crop")
-    return r.where("k = 'vegetable'").withColumn("place", F.row_number().over(w)).where("place <= 3").select("request_id", "crop", F.col("c").alias("confidence"), "place")
+    return predictions.top_items(_scores(spark, d), "request_id", "crop", F.col("prob"), F.col("rec_id"), where=(F.col("k") == "vegetable") & F.col("prob").between(0, 1))
 
 
 @query(f"with {_AUD} select audit_id, mask_coverage_pct from aud where mask_coverage_pct is not null and not isnan(mask_coverage_pct) order by mask_coverage_pct desc, audit_id limit 50")
