@@ -102,26 +102,29 @@ def self_intersects(p: Column) -> Column:
     return F.when(n < 4, F.lit(False)).otherwise(F.exists(e, lambda s: F.exists(e, lambda t: crosses(s, t))))
 
 
-def polygon_crosses():
-    """ARR-03 as an Arrow-batched function of two arrays (xs, ys), edge against edge in numpy."""
-    def crossing(xs, ys) -> bool:
-        n = len(xs)
-        if n < 4:
-            return False
-        x, y = np.asarray(xs, float), np.asarray(ys, float)
-        u, v = np.roll(x, -1), np.roll(y, -1)
-        turn = lambda ax, ay, bx, by, cx, cy: (cy - ay) * (bx - ax) > (by - ay) * (cx - ax)
-        for i in range(n - 2):
-            j = np.arange(i + 2, n - 1 if i == 0 else n)
-            one = turn(x[i], y[i], x[j], y[j], u[j], v[j]) != turn(u[i], v[i], x[j], y[j], u[j], v[j])
-            two = turn(x[i], y[i], u[i], v[i], x[j], y[j]) != turn(x[i], y[i], u[i], v[i], u[j], v[j])
-            if (one & two).any():
-                return True
+def crosses_itself(xs, ys) -> bool:
+    """ARR-03 in numpy, edge against edge."""
+    n = len(xs)
+    if n < 4:
         return False
+    x, y = np.asarray(xs, float), np.asarray(ys, float)
+    u, v = np.roll(x, -1), np.roll(y, -1)
+    turn = lambda ax, ay, bx, by, cx, cy: (cy - ay) * (bx - ax) > (by - ay) * (cx - ax)
+    for i in range(n - 2):
+        j = np.arange(i + 2, n - 1 if i == 0 else n)
+        one = turn(x[i], y[i], x[j], y[j], u[j], v[j]) != turn(u[i], v[i], x[j], y[j], u[j], v[j])
+        two = turn(x[i], y[i], u[i], v[i], x[j], y[j]) != turn(x[i], y[i], u[i], v[i], u[j], v[j])
+        if (one & two).any():
+            return True
+    return False
+
+
+def polygon_crosses():
+    """ARR-03 as an Arrow-batched function of two arrays (xs, ys), for polygons of many points."""
 
     @F.pandas_udf("boolean")
     def run(xs: pd.Series, ys: pd.Series) -> pd.Series:
-        return pd.Series([None if a is None else crossing(a, b) for a, b in zip(xs, ys)], dtype="boolean")
+        return pd.Series([None if a is None else crosses_itself(a, b) for a, b in zip(xs, ys)], dtype="boolean")
 
     return run
 
@@ -136,36 +139,38 @@ def perimeter(p: Column) -> Column:
     return F.aggregate(edges(p), F.lit(0.0), lambda s, e: s + F.hypot(e["b"]["x"] - e["a"]["x"], e["b"]["y"] - e["a"]["y"]))
 
 
-def simplify(tolerance: float):
-    """ARR-11: Douglas-Peucker as an Arrow-batched function of two arrays; gives [x1, y1, ...].
+def straightened(points, tolerance: float) -> list:
+    """ARR-11: Douglas-Peucker. Ends stay; a stretch is straight while no point is farther than ``tolerance`` from it.
 
-    Ends stay; a stretch is kept straight while no point is farther than ``tolerance`` from it. An
-    explicit stack replaces recursion, so long outlines cannot exhaust it.
+    An explicit stack replaces recursion, so long outlines cannot exhaust it.
     """
-    def cut(xs, ys):
-        x, y = np.asarray(xs, float), np.asarray(ys, float)
-        n = len(x)
-        if n < 3:
-            return np.c_[x, y].ravel().tolist()
-        keep = np.zeros(n, bool)
-        keep[[0, n - 1]] = True
-        stack = [(0, n - 1)]
-        while stack:
-            a, b = stack.pop()
-            if b <= a + 1:
-                continue
-            dx, dy = x[b] - x[a], y[b] - y[a]
-            px, py = x[a + 1 : b] - x[a], y[a + 1 : b] - y[a]
-            length = np.hypot(dx, dy)
-            d = np.hypot(px, py) if length == 0 else np.abs(dx * py - dy * px) / length
-            k = int(d.argmax())
-            if d[k] > tolerance:
-                keep[m := a + 1 + k] = True
-                stack += [(a, m), (m, b)]
-        return np.c_[x[keep], y[keep]].ravel().tolist()
+    n = len(points)
+    if n < 3:
+        return list(points)
+    x, y = np.asarray([q[0] for q in points], float), np.asarray([q[1] for q in points], float)
+    keep = np.zeros(n, bool)
+    keep[[0, n - 1]] = True
+    stack = [(0, n - 1)]
+    while stack:
+        a, b = stack.pop()
+        if b <= a + 1:
+            continue
+        dx, dy = x[b] - x[a], y[b] - y[a]
+        px, py = x[a + 1 : b] - x[a], y[a + 1 : b] - y[a]
+        length = np.hypot(dx, dy)
+        d = np.hypot(px, py) if length == 0 else np.abs(dx * py - dy * px) / length
+        k = int(d.argmax())
+        if d[k] > tolerance:
+            keep[m := a + 1 + k] = True
+            stack += [(a, m), (m, b)]
+    return [q for q, k in zip(points, keep) if k]
+
+
+def simplify(tolerance: float):
+    """ARR-11: ``straightened`` as an Arrow-batched function of two arrays; gives [x1, y1, ...]."""
 
     @F.pandas_udf("array<double>")
     def run(xs: pd.Series, ys: pd.Series) -> pd.Series:
-        return pd.Series([None if a is None else cut(a, b) for a, b in zip(xs, ys)])
+        return pd.Series([None if a is None else [float(v) for q in straightened(list(zip(a, b)), tolerance) for v in q] for a, b in zip(xs, ys)])
 
     return run

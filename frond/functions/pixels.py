@@ -66,16 +66,19 @@ def pack_bits(bits) -> int:
     return v - (1 << 64) if v >> 63 else v
 
 
-def average_hash(g, inclusive: bool = False) -> int:
-    """MTH-10: 8 x 8 means, a bit where above their mean (or equal, if inclusive)."""
-    s = box_resize(g, 8, 8)
+def average_hash(g, inclusive: bool = False, first: int | None = None) -> int:
+    """MTH-10, V1: 8 x 8 means, a bit where above their mean (or equal, if inclusive).
+
+    ``first`` is the side of an earlier reduction, 32 or 10 in two of the variants.
+    """
+    s = box_resize(box_resize(g, first, first) if first else g, 8, 8)
     return pack_bits(s >= s.mean() if inclusive else s > s.mean())
 
 
-def difference_hash(g) -> int:
-    """MTH-10: 8 rows of 9 means, a bit where a value exceeds its right neighbour."""
+def difference_hash(g, rising: bool = False) -> int:
+    """MTH-10, V1: 8 rows of 9 means, a bit where a value exceeds its right neighbour, or is exceeded by it (rising)."""
     s = box_resize(g, 8, 9)
-    return pack_bits(s[:, :-1] > s[:, 1:])
+    return pack_bits(s[:, 1:] > s[:, :-1] if rising else s[:, :-1] > s[:, 1:])
 
 
 def hsv(img):
@@ -135,16 +138,48 @@ def sharpness(g) -> float:
     return laplacian_variance(box_resize(g[y : y + s, x : x + s], 256, 256))
 
 
-def edge_fraction(g, threshold: float = 100.0) -> float:
-    """IMG-04: share of pixels whose Sobel gradient exceeds ``threshold``."""
+def _sobel(g):
+    """Horizontal and vertical derivatives of whole grey values, the border repeated."""
     import numpy as np
 
-    if min(g.shape) < 2:
-        return 0.0
-    p = np.pad(g, 1, mode="reflect")
+    p = np.pad(np.rint(g).astype(np.int64), 1, mode="edge")
     x = (p[:-2, 2:] + 2 * p[1:-1, 2:] + p[2:, 2:]) - (p[:-2, :-2] + 2 * p[1:-1, :-2] + p[2:, :-2])
     y = (p[2:, :-2] + 2 * p[2:, 1:-1] + p[2:, 2:]) - (p[:-2, :-2] + 2 * p[:-2, 1:-1] + p[:-2, 2:])
-    return float((np.hypot(x, y) > threshold).mean())
+    return x, y
+
+
+def canny(g, low: float = 30.0, high: float = 100.0):
+    """IMG-04: edges by Canny's method: gradients |x| + |y|, thinned across their direction, by two thresholds.
+
+    A pixel is a ridge if its gradient exceeds that before it and is not below that after it, along
+    the nearest of four directions. Ridges above ``high``, and those above ``low`` joined to one, are
+    edges.
+    """
+    import numpy as np
+
+    x, y = _sobel(g)
+    m = np.abs(x) + np.abs(y)
+    p = np.pad(m, 1)
+    at = lambda dy, dx: p[1 + dy : p.shape[0] - 1 + dy, 1 + dx : p.shape[1] - 1 + dx]
+    ax, ay = np.abs(x), np.abs(y)
+    t = np.tan(np.pi / 8)
+    flat, steep = ay < t * ax, ay > (t + 2) * ax
+    falls = (x < 0) != (y < 0)
+    ridge = np.where(
+        flat, (m > at(0, -1)) & (m >= at(0, 1)),
+        np.where(steep, (m > at(-1, 0)) & (m >= at(1, 0)), np.where(falls, (m > at(-1, 1)) & (m > at(1, -1)), (m > at(-1, -1)) & (m > at(1, 1)))),
+    )
+    weak = ridge & (m > low)
+    labels, sizes = label_parts(weak)
+    strong = np.zeros(len(sizes) + 1, bool)
+    strong[labels[weak & (m > high)]] = True
+    strong[0] = False
+    return strong[labels]
+
+
+def edge_fraction(g) -> float:
+    """IMG-04: share of pixels that are edges between the thresholds 30 and 100."""
+    return float(canny(g).mean()) if min(g.shape) >= 2 else 0.0
 
 
 def color_histogram(img):
@@ -156,12 +191,14 @@ def color_histogram(img):
     return (np.bincount(cells.ravel(), minlength=512) / cells.size).tolist()
 
 
-def components(mask) -> list[int]:
-    """IMG-06: sizes of the 8-connected parts, largest first, by union of row runs."""
+def label_parts(mask):
+    """IMG-06: (labels, sizes): the number of the 8-connected part of each pixel, from 1, and the parts' sizes.
+
+    By union of row runs; parts are numbered by their first pixel, 0 is background.
+    """
     import numpy as np
 
     up: list[int] = []
-    size: list[int] = []
 
     def find(i):
         while up[i] != i:
@@ -170,26 +207,229 @@ def components(mask) -> list[int]:
         return i
 
     before: list[tuple[int, int, int]] = []
-    for row in mask:
+    spans = []
+    for r, row in enumerate(mask):
         d = np.diff(np.r_[0, row.astype(np.int8), 0])
         runs = []
         j = 0
         for a, b in zip(np.flatnonzero(d == 1).tolist(), np.flatnonzero(d == -1).tolist()):
             me = len(up)
             up.append(me)
-            size.append(b - a)
             while j < len(before) and before[j][1] < a:
                 j += 1
             k = j
             while k < len(before) and before[k][0] <= b:
                 x, y = find(before[k][2]), find(me)
-                if x != y:
-                    up[y] = x
-                    size[x] += size[y]
+                up[max(x, y)] = min(x, y)
                 k += 1
             runs.append((a, b, me))
+            spans.append((r, a, b, me))
         before = runs
-    return sorted((size[i] for i in range(len(up)) if up[i] == i), reverse=True)
+    labels = np.zeros(mask.shape, np.int32)
+    number: dict[int, int] = {}
+    sizes: list[int] = []
+    for r, a, b, me in spans:
+        root = find(me)
+        if root not in number:
+            number[root] = len(sizes) + 1
+            sizes.append(0)
+        sizes[number[root] - 1] += b - a
+        labels[r, a:b] = number[root]
+    return labels, sizes
+
+
+def components(mask) -> list[int]:
+    """IMG-06: sizes of the 8-connected parts, largest first."""
+    return sorted(label_parts(mask)[1], reverse=True)
+
+
+def largest_part(mask):
+    """IMG-06: the mask of the largest part, the first on a tie; empty if there is none."""
+    labels, sizes = label_parts(mask)
+    return labels == (sizes.index(max(sizes)) + 1 if sizes else -1)
+
+
+#: Steps around a pixel, clockwise on the screen from the left: (row, column).
+_AROUND = [(0, -1), (-1, -1), (-1, 0), (-1, 1), (0, 1), (1, 1), (1, 0), (1, -1)]
+
+
+def outline(mask) -> list[tuple[int, int]]:
+    """ARR-11: the outer border of a mask of one part as (x, y) of its pixels in turn, by Moore's tracing.
+
+    Starts at the first pixel and ends when that is entered as at the beginning. Pixels on straight
+    stretches are kept; ``corners_only`` drops them.
+    """
+    import numpy as np
+
+    if not mask.any():
+        return []
+    p = np.pad(mask, 1)
+    start = tuple(int(v) for v in np.argwhere(p)[0])
+    at, back, out = start, 0, []
+    first = None
+    while True:
+        out.append((at[1] - 1, at[0] - 1))
+        for k in range(1, 9):
+            d = (back + k) % 8
+            to = (at[0] + _AROUND[d][0], at[1] + _AROUND[d][1])
+            if p[to]:
+                break
+        else:
+            return out  # a single pixel
+        if at == start:
+            if first is None:
+                first = d
+            elif d == first:
+                return out[:-1]
+        # the background pixel looked at before, as seen from the new one
+        last = (back + k - 1) % 8
+        seen = (at[0] + _AROUND[last][0] - to[0], at[1] + _AROUND[last][1] - to[1])
+        at, back = to, _AROUND.index(seen)
+
+
+def corners_only(points: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Points of a closed outline at which its direction changes."""
+    n = len(points)
+    if n < 3:
+        return points
+    step = [(points[(i + 1) % n][0] - points[i][0], points[(i + 1) % n][1] - points[i][1]) for i in range(n)]
+    return [points[i] for i in range(n) if step[i] != step[i - 1]]
+
+
+def shoelace(points) -> float:
+    """Area of a closed outline."""
+    n = len(points)
+    return abs(sum(points[i][0] * points[(i + 1) % n][1] - points[(i + 1) % n][0] * points[i][1] for i in range(n))) / 2 if n >= 3 else 0.0
+
+
+def arc_length(points) -> float:
+    import math
+
+    return sum(math.dist(points[i], points[(i + 1) % len(points)]) for i in range(len(points))) if len(points) > 1 else 0.0
+
+
+def simplified(points, tolerance: float) -> list:
+    """ARR-11: a closed outline by Douglas and Peucker, cut at two far points of it."""
+    from frond.functions.geometry import straightened
+
+    n = len(points)
+    if n < 4:
+        return list(points)
+    far = max(range(n), key=lambda i: (points[i][0] - points[0][0]) ** 2 + (points[i][1] - points[0][1]) ** 2)
+    one = straightened([*points[: far + 1]], tolerance)
+    two = straightened([*points[far:], points[0]], tolerance)
+    return one[:-1] + two[:-1]
+
+
+def convex_hull(points) -> list:
+    """ARR-11: corners of the convex hull in turn, by two monotone chains; points on its sides are left out."""
+    ps = sorted(set(map(tuple, points)))
+    if len(ps) < 3:
+        return ps
+
+    def chain(seq):
+        out: list = []
+        for q in seq:
+            while len(out) > 1 and (out[-1][0] - out[-2][0]) * (q[1] - out[-2][1]) - (out[-1][1] - out[-2][1]) * (q[0] - out[-2][0]) <= 0:
+                out.pop()
+            out.append(q)
+        return out[:-1]
+
+    return chain(ps) + chain(ps[::-1])
+
+
+def mask_polygons(mask, epsilon_ratio: float = 0.005, min_area: float = 10.0) -> list:
+    """ARR-11: simplified outer outlines (lists of (x, y)) of the parts whose outline has at least ``min_area``."""
+    labels, sizes = label_parts(mask)
+    out = []
+    for k in range(1, len(sizes) + 1):
+        line = corners_only(outline(labels == k))
+        if shoelace(line) < min_area:
+            continue
+        pts = simplified(line, epsilon_ratio * arc_length(line))
+        if len(pts) >= 3:
+            out.append(pts)
+    return out
+
+
+def polygon_fault(points, w: int, h: int, min_area: float) -> str | None:
+    """PIP-03: why an outline is refused: outside the image, too few points, too small, or crossing itself; null if fine."""
+    from frond.functions.geometry import crosses_itself
+
+    clean = [q for i, q in enumerate(points) if i == 0 or q != points[i - 1]]
+    if len(clean) > 1 and clean[0] == clean[-1]:
+        clean.pop()
+    if any(x < 0 or y < 0 or x > w or y > h for x, y in clean):
+        return "outside"
+    if len(clean) < 3:
+        return "too_few_points"
+    if shoelace(clean) < min_area:
+        return "too_small"
+    return "self_intersecting" if crosses_itself([x for x, _ in clean], [y for _, y in clean]) else None
+
+
+def shape_ratios(mask) -> tuple[float, float, float]:
+    """MTH-06: (aspect, solidity, convexity) of the largest part: box sides, pixels over hull area, hull over outline length; 0 where undefined."""
+    big = largest_part(mask)
+    line = corners_only(outline(big))
+    if not line:
+        return 0.0, 0.0, 0.0
+    xs, ys = [x for x, _ in line], [y for _, y in line]
+    hull = convex_hull(line)
+    area, around = shoelace(hull), arc_length(line)
+    return (max(xs) - min(xs) + 1) / (max(ys) - min(ys) + 1), float(big.sum()) / area if area > 0 else 0.0, arc_length(hull) / around if around > 0 else 0.0
+
+
+def prompt_points(mask) -> list[tuple[int, int]]:
+    """IMG-07: (x, y) at the middle and at both thirds of the box's middle row that lie in the mask."""
+    import numpy as np
+
+    if not mask.any():
+        return []
+    ys, xs = np.flatnonzero(mask.any(axis=1)), np.flatnonzero(mask.any(axis=0))
+    x0, x1, y = int(xs[0]), int(xs[-1]), int(ys[0] + ys[-1]) // 2
+    return [(x, y) for x in ((x0 + x1) // 2, x0 + (x1 - x0) // 3, x0 + 2 * (x1 - x0) // 3) if mask[y, x]]
+
+
+def filled(mask):
+    """IMG-10: a mask without holes: background that the frame's outside does not reach, by sides, is filled."""
+    import numpy as np
+
+    p = np.pad(~mask, 1, constant_values=True)
+    reached = np.zeros_like(p)
+    reached[0] = reached[-1] = True
+    reached[:, 0] = reached[:, -1] = True
+    while True:
+        grown = reached.copy()
+        grown[1:] |= reached[:-1]
+        grown[:-1] |= reached[1:]
+        grown[:, 1:] |= reached[:, :-1]
+        grown[:, :-1] |= reached[:, 1:]
+        grown &= p
+        if (grown == reached).all():
+            return ~reached[1:-1, 1:-1]
+        reached = grown
+
+
+def refined(mask):
+    """IMG-10: opened by a cross of three pixels, its largest part without holes, closed by the cross."""
+    opened = cross(cross(mask, False), True)
+    return cross(cross(filled(largest_part(opened)), True), False)
+
+
+def cross(mask, grow: bool):
+    """Dilation or erosion by a cross of three pixels."""
+    import numpy as np
+
+    p = np.pad(mask, 1, constant_values=not grow)
+    parts = [p[1:-1, 1:-1], p[:-2, 1:-1], p[2:, 1:-1], p[1:-1, :-2], p[1:-1, 2:]]
+    return np.logical_or.reduce(parts) if grow else np.logical_and.reduce(parts)
+
+
+def downscaled(h: int, w: int, most: int) -> tuple[int, int]:
+    """IMG-09: (height, width) with the longer side at most ``most``, truncated; never enlarged."""
+    f = most / max(h, w)
+    return (h, w) if f >= 1 else (int(h * f), int(w * f))
 
 
 def otsu(g) -> float:
@@ -269,19 +509,13 @@ def histogram_correlation(a, b) -> float:
     return float((x * y).sum() / d) if d else 1.0
 
 
-def outline_length(mask) -> int:
-    """Sides of mask pixels that border on background or the frame."""
-    import numpy as np
-
-    p = np.pad(mask, 1).astype(np.int8)
-    return int(np.abs(np.diff(p, axis=0)).sum() + np.abs(np.diff(p, axis=1)).sum())
-
-
-def mask_metrics(mask, tiny: float = 0.2, huge: float = 98.5) -> tuple:
+def mask_metrics(mask, tiny: float = 0.2, huge: float = 98.5, raw=None) -> tuple:
     """IMG-05, IMG-06, IMG-10: coverage in percent, parts, box, borders, and the first reason to refuse.
 
     Order: coverage below 5 % or above 95 %; a second part above 5 % of the largest or 0.5 % of the
-    image; all four borders touched; a corner more than 30 % full; outline squared over area above 150.
+    image; all four borders touched; a corner more than 30 % full; of the largest outline its length
+    squared over its area above 150, or no area. Parts are those of ``raw``, the mask before it was
+    refined, where that is given.
     """
     import numpy as np
 
@@ -289,17 +523,20 @@ def mask_metrics(mask, tiny: float = 0.2, huge: float = 98.5) -> tuple:
     n = int(mask.sum())
     if n == 0:
         return (w, h, 0, 0.0, 0, 0, 0, 0, 0, 0, 0, 0, 0.0, 0.0, True, False, "low coverage")
-    parts = components(mask)
+    parts = components(mask if raw is None else raw) or [0]
     ys, xs = np.flatnonzero(mask.any(axis=1)), np.flatnonzero(mask.any(axis=0))
     c = 100.0 * n / mask.size
     borders = sum(bool(e.any()) for e in (mask[0], mask[-1], mask[:, 0], mask[:, -1]))
     k = min(15, min(h, w) // 20)
     corner = max(float(x.mean()) for x in (mask[:k, :k], mask[:k, w - k :], mask[h - k :, :k], mask[h - k :, w - k :])) if k else 0.0
-    around = float(outline_length(mask))
+    labels, sizes = label_parts(mask)
+    lines = [corners_only(outline(labels == i)) for i in range(1, len(sizes) + 1)] if c >= 5 and c <= 95 else [corners_only(outline(largest_part(mask)))]
+    line = max(lines, key=shoelace)
+    around, area = arc_length(line), shoelace(line)
     second = parts[1] if len(parts) > 1 else 0
     verdict = (
         "low coverage" if c < 5 else "high coverage" if c > 95 else "several regions" if second > 0.05 * parts[0] or second > 0.005 * mask.size
-        else "touches all borders" if borders == 4 else "background in corner" if corner > 0.3 else "jagged" if around * around / n > 150 else "valid"
+        else "touches all borders" if borders == 4 else "background in corner" if corner > 0.3 else "no outline area" if area == 0 else "jagged" if around * around / area > 150 else "valid"
     )
     return (w, h, n, c, len(parts), parts[0], second, int(xs[0]), int(ys[0]), int(xs[-1] - xs[0] + 1), int(ys[-1] - ys[0] + 1), borders, corner, around, c < tiny, c > huge, verdict)
 
@@ -339,3 +576,35 @@ def measure_images(df: DataFrame, keep: list[str]) -> DataFrame:
 def measure_masks(df: DataFrame, keep: list[str], level: int = 0) -> DataFrame:
     """Kept columns and MASK_METRICS; a pixel counts where its first band exceeds ``level``."""
     return _measure(df, keep, MASK_METRICS, lambda img: mask_metrics(img[:, :, 0] > level))
+
+
+def mask_labels(df: DataFrame, keep: list[str], cls: str, min_area: float = 10.0, epsilon_ratio: float = 0.005, level: int = 0) -> DataFrame:
+    """PIP-03, ARR-11: kept columns, content and reason of rows with an ``image`` column and a class id.
+
+    content has a label line for each outline that is not refused, coordinates over the image's size,
+    clamped, six places. reason is that of the first refused outline, "empty" without outline or
+    picture, else null.
+    """
+
+    def work(img, row):
+        polys = mask_polygons(img[:, :, 0] > level, epsilon_ratio, min_area)
+        h, w = img.shape[:2]
+        faults = [polygon_fault(p, w, h, min_area) for p in polys]
+        unit = lambda v, n: f"{min(1.0, max(0.0, v / n)):.6f}"
+        lines = [f"{row[cls]} " + " ".join(f"{unit(x, w)} {unit(y, h)}" for x, y in p) for p, f in zip(polys, faults) if f is None]
+        return "\n".join(lines), next((f for f in faults if f), None) if polys else "empty"
+
+    kinds = dict(df.dtypes)
+    cols = [F.col("image.height").alias("_h"), F.col("image.width").alias("_w"), F.col("image.nChannels").alias("_n"), F.col("image.data").alias("_d")]
+
+    def run(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            rows = []
+            for r in pdf.to_dict("records"):
+                good = r["_d"] is not None and r["_h"] > 0 and r["_w"] > 0 and r["_n"] > 0
+                rows.append(work(to_array(r["_d"], int(r["_h"]), int(r["_w"]), int(r["_n"])), r) if good else ("", "empty"))
+            yield pd.concat([pdf[keep].reset_index(drop=True), pd.DataFrame(rows, columns=["content", "reason"], dtype=object)], axis=1)
+
+    return df.select(*keep, *cols).mapInPandas(run, ", ".join([*[f"`{k}` {kinds[k]}" for k in keep], "content string, reason string"]))

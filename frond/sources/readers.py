@@ -142,9 +142,13 @@ def coco_subset(coco_images: DataFrame, coco_annotations: DataFrame, wanted: Dat
 
 
 def read_label_tree(spark: SparkSession, root: str, suffix: str = ".txt") -> DataFrame:
-    """SRC-06: (path, content, size_bytes, modified_at) of a label tree, empty files with content ''."""
-    listed = list_files(spark, root).where(F.col("path").endswith(suffix))
-    scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").load(root)
+    """SRC-06: (path, content, size_bytes, modified_at) of a label tree, empty files with content ''.
+
+    The suffix may be written in any letter case.
+    """
+    listed = list_files(spark, root).where(F.lower("path").endswith(suffix.lower()))
+    either = "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix)
+    scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{either}").load(root)
     text = scan.select(F.regexp_replace("path", "^file:/*", "/").alias("path"), F.decode("content", "UTF-8").alias("content"))
     return listed.join(text, "path", "left").select("path", F.coalesce("content", F.lit("")).alias("content"), "size_bytes", "modified_at")
 
@@ -193,11 +197,21 @@ def keyed_dimension(spark: SparkSession, path: str, key: str, value_schema: str)
 
 
 def missing_paths(listing: DataFrame, required: list[str], spark: SparkSession) -> DataFrame:
-    """SRC-15: required relative paths that no listed path ends with or lies below."""
-    want = spark.createDataFrame([(r.strip("/"),) for r in required], "required string")
-    hit = F.concat(F.col("path"), F.lit("/")).contains(F.concat(F.lit("/"), F.col("required"), F.lit("/")))
-    found = listing.select("path").join(F.broadcast(want), hit).select("required").distinct()  # as many rows as the argument
-    return want.join(found, "required", "left_anti")
+    """SRC-15: required relative paths that no listed path ends with or lies below.
+
+    A listed path gives its stretches of as many folders as some required path has, which are joined
+    by equality.
+    """
+    want = spark.createDataFrame([(r.strip("/"),) for r in required], "required string").distinct()
+    parts = F.filter(F.split("path", "/"), lambda s: s != "")
+
+    def of(n: int) -> Column:
+        last = F.size("p") - n
+        return F.when(last >= 0, F.transform(F.sequence(F.lit(1), last + 1), lambda i: F.array_join(F.slice("p", i, n), "/"))).otherwise(F.array().cast("array<string>"))
+
+    stretches = [of(n) for n in sorted({r.strip("/").count("/") + 1 for r in required})]
+    have = listing.select(parts.alias("p")).select(F.explode(F.array_distinct(F.concat(*stretches))).alias("required")) if stretches else None
+    return want if have is None else want.join(have, "required", "left_anti")
 
 
 # ---- image headers ----------------------------------------------------------------------------
@@ -284,3 +298,8 @@ def read_json_report(path: str) -> dict:
     """SRC-14: an earlier report of one document."""
     with open(path, encoding="utf-8") as f:
         return json.load(f)
+
+
+def inverted(pairs: DataFrame, key: str, value: str) -> DataFrame:
+    """MAP-04: (value, key) with one key for each value, the greatest, as the last of a sorted list wins."""
+    return pairs.where(F.col(value).isNotNull()).groupBy(value).agg(F.max(key).alias(key))

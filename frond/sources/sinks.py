@@ -51,6 +51,22 @@ def markdown_report(title: str, sections: dict[str, DataFrame], path: str | None
     return text
 
 
+def html_report(title: str, sections: dict[str, DataFrame], path: str | None = None) -> str:
+    """SNK-03: as ``markdown_report``, as a page of HTML; all text is escaped."""
+    from html import escape
+
+    text = lambda v: "" if v is None else escape(str(v))
+    out = ["<!DOCTYPE html>", f'<html><head><meta charset="utf-8"><title>{escape(title)}</title></head><body>', f"<h1>{escape(title)}</h1>"]
+    for name, df in sections.items():
+        out += [f"<h2>{escape(name)}</h2>", "<table>", "<tr>" + "".join(f"<th>{escape(c)}</th>" for c in df.columns) + "</tr>"]
+        out += ["<tr>" + "".join(f"<td>{text(v)}</td>" for v in r) + "</tr>" for r in _rows(df)] + ["</table>"]
+    page = "\n".join([*out, "</body></html>"])
+    if path:
+        with open(path, "w", encoding="utf-8") as f:
+            f.write(page)
+    return page
+
+
 def write_manifest(df: DataFrame, path: str, by: str = "split", mode: str = "errorifexists") -> None:
     """SNK-04, SNK-07: rows in one folder for each value of ``by``: a copy plan, or records by status.
 
