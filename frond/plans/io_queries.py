@@ -194,8 +194,8 @@ _LINE = "'| ' || split || ' | ' || n || ' |'"
 
 
 @query(f"""with {C._IMG}, g as (select coalesce(split, 'none') as split, count(*) as n from img group by 1), r as (select *, row_number() over (order by split) as i from g)
- select 'markdown' as form, line, text from (select 0 as line, '# Splits' as text union all select 2, '## counts' union all select 4, '| split | n |' union all select 5, '|---|---|' union all select 5 + i, {_LINE} from r)
- union all select 'html', 5 + i, '<tr><td>' || split || '</td><td>' || n || '</td></tr>' from r""")
+ select 'markdown' as form, line::integer as line, text from (select 0 as line, '# Splits' as text union all select 2, '## counts' union all select 4, '| split | n |' union all select 5, '|---|---|' union all select 5 + i, {_LINE} from r)
+ union all select 'html', (5 + i)::integer, '<tr><td>' || split || '</td><td>' || n || '</td></tr>' from r""")
 def snk03_reports(spark, d):
     """The lines of a report as Markdown, and the rows of its table as HTML."""
     per = C.images(spark, d).groupBy(F.coalesce("split", F.lit("none")).alias("split")).agg(F.count(F.lit(1)).alias("n")).orderBy("split")
