@@ -32,11 +32,12 @@ BITS = 64
 SLACK = 1e-9
 
 
-def listed(v: Column, least: Column, norm: Column) -> Column:
+def listed(v: Column, least: Column, norm: Column, last: int | None = None) -> Column:
     """How many first terms of a vector are listed; the rest cannot reach ``least`` by itself.
 
     ``v`` is an array of structs with weight and most, the greatest weight of the term on the other
-    side; ``norm`` is a bound on the other side's norms.
+    side; ``norm`` is a bound on the other side's norms. ``last`` terms are looked at, where it is
+    known that these together reach ``least``.
     """
     zero = F.struct(F.lit(0).alias("rest"), F.lit(0.0).alias("squares"), F.lit(0.0).alias("sums"))
 
@@ -45,12 +46,12 @@ def listed(v: Column, least: Column, norm: Column) -> Column:
         out = F.least(F.sqrt(squares) * norm, sums) < least - SLACK
         return F.struct((acc["rest"] + out.cast("int")).alias("rest"), squares.alias("squares"), sums.alias("sums"))
 
-    return F.size(v) - F.aggregate(F.reverse(v), zero, add)["rest"]
+    return F.size(v) - F.aggregate(F.reverse(F.slice(v, -last, last) if last else v), zero, add)["rest"]
 
 
-def _postings(vectors: DataFrame, name: str, least: Column, norm: Column) -> DataFrame:
-    first = F.slice("v", 1, F.greatest(listed(F.col("v"), least, norm), F.lit(0)))
-    return vectors.select(F.col("id").alias(name), F.explode(F.transform(first, lambda x: x["term"])).alias("term"))
+def _postings(vectors: DataFrame, name: str, least: Column, norm: Column, term: Column | None = None, last: int | None = None) -> DataFrame:
+    first = F.slice("v", 1, F.greatest(listed(F.col("v"), least, norm, last), F.lit(0)))
+    return vectors.select(F.col("id").alias(name), F.explode(first).alias("t")).select(name, (F.col("t.term") if term is None else term).alias("term"))
 
 
 def _vectors(rows: DataFrame) -> DataFrame:
@@ -153,13 +154,11 @@ def fingerprint_vectors(fps: DataFrame, blocks: int, m: int, counts: list[int])
         part = F.col("fp").bitwiseAND(F.lit(_signed(sum(masks[j] for j in c))))
         loads = [F.get("loads", F.lit(j)) for j in c]
         terms.append(F.struct((F.least(*loads) if m > 1 else loads[0]).alias("n"), F.lit(i).alias("list"), part.alias("content")))
-    v = F.array_sort(F.array(*terms))
-
-    def term(t: Column) -> Column:
+    weighed = []
+    for t in terms:
         w = F.log1p(F.lit(total) / F.greatest(t["n"], F.lit(1)))
-        return F.struct(F.xxhash64(t["list"], t["content"]).alias("term"), w.alias("weight"), w.alias("most"), t["n"].alias("n"))
-
-    return x.select(F.col("fp").alias("id"), F.transform(v, term).alias("v"))
+        weighed.append(F.struct(t["n"].alias("n"), t["list"].alias("list"), t["content"].alias("content"), w.alias("weight"), w.alias("most")))
+    return x.select(F.col("fp").alias("id"), F.array_sort(F.array(*weighed)).alias("v"))
 
 
 def fingerprint_join(left: DataFrame, right: DataFrame, max_bits: int = 5, lists: tuple[int, int] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -170,15 +169,20 @@ def fingerprint_join(left: DataFrame, right: DataFrame, max_bits: int = 5, lists
     pair is found once. Lists longer than ``hot_rows`` are split, which their bound tells beforehand.
     """
     a, b = left.where("fp is not null").select("fp"), right.where("fp is not null").select("fp")
-    blocks, m = lists or choose_lists(a.count(), b.count(), max_bits)
+    n_left, n_right = a.count(), b.count()
+    blocks, m = lists or choose_lists(n_left, n_right, max_bits)
     if max_bits < 0 or not max(4, max_bits + 1) <= blocks <= BITS or not 1 <= m <= blocks - max_bits:
         raise ValueError("needs max_bits < blocks, 4 to 64 blocks, and terms of 1 to blocks - max_bits blocks")
     counts = block_counts(a.unionByName(b), blocks)
     shared = comb(blocks - max_bits, m)
     least = F.aggregate(F.slice("v", -shared, shared), F.lit(0.0), lambda s, t: s + t["weight"] * t["weight"])
     every = F.lit(float("inf"))  # weights are not scaled to norm 1
-    x = _postings(fingerprint_vectors(a, blocks, m, counts), "fp_left", least, every)
-    y = _postings(fingerprint_vectors(b, blocks, m, counts), "fp_right", least, every)
+    term = F.xxhash64("t.list", "t.content")
+    # a table of eight bytes a row has few files, but its rows become many: all cores take part
+    tasks = left.sparkSession.sparkContext.defaultParallelism
+    wide = lambda df, n: df.repartition(max(tasks, n // 250_000), "fp")
+    x = _postings(fingerprint_vectors(wide(a, n_left), blocks, m, counts), "fp_left", least, every, term, shared)
+    y = _postings(fingerprint_vectors(wide(b, n_right), blocks, m, counts), "fp_right", least, every, term, shared)
     hot: list = []
     if max(counts) > hot_rows:  # else no list can be that long
         hot = hot_keys(x.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "term", "n", hot_rows)
