@@ -220,6 +220,34 @@ dg as (
 )
 """
 
+# words, and words by form: capitals inside sentences mark names unless there are too many of them
+_KINDS = rf"""
+lex as (select w, min(k) as k from (select unnest([{', '.join(repr(u) for u in sorted(leakage.UNITS))}]) as w, 2 as k union all select unnest([{', '.join(repr(u) for u in sorted(leakage.NAMES))}]), 3
+  union all select distinct lower(trim(crop)), 3 from documents where regexp_full_match(lower(trim(crop)), '\p{{L}}+')) group by w),
+texts as (select 'i' as src, item_id as id, text from eval_items where item_id is not null union all select 'd', doc_id, text from documents where doc_id is not null),
+plain as (select src, id, regexp_replace(regexp_replace(regexp_replace(text, '</?\p{{L}}[^<>]*>', '', 'g'), '[\x{{00AD}}\x{{200B}}]', '', 'g'), '-\r?\n', '', 'g') as t from texts where text is not null),
+wt as (select src, id, unnest(ws) as w, generate_subscripts(ws, 1) as pos from (select src, id, regexp_extract_all(lower(t), '[\p{{L}}\p{{N}}]+') as ws from plain)),
+ft as (select src, id, unnest(ws) as w, generate_subscripts(ws, 1) as pos from (select src, id, regexp_extract_all(t, '\p{{Nd}}+(?:[.,]\p{{Nd}}+)*|[\p{{L}}\p{{Nl}}\p{{No}}]+|[.!?:\n]') as ws from plain)),
+fm as (select *, w in ('.', '!', '?', ':', chr(10)) as mark, coalesce(lag(w) over (partition by src, id order by pos) in ('.', '!', '?', ':', chr(10)), true) as head, w[1] = upper(w[1]) and w[1] <> lower(w[1]) as cap from ft),
+fs as (select src, id, count(*) filter (where not mark and not head) as inside, count(*) filter (where not mark and not head and cap) as caps from fm group by all),
+fn as (select distinct src, id, lower(w) as w from fm where not mark and not head and cap),
+fw as (select m.src, m.id, m.pos, case when cap and (not head or n.w is not null) and not (inside >= 20 and caps > 0.15 * inside) then '^' else '' end || lower(m.w) as w
+  from fm m join fs using (src, id) left join fn n on n.src = m.src and n.id = m.id and n.w = lower(m.w) where not mark),
+tok as (select 'w' as cut, * from wt union all select 'f' as cut, src, id, w, pos from fw),
+typed as (select tok.*, case when starts_with(tok.w, '^') then '<3>' when regexp_full_match(tok.w, '\p{{Nd}}+([.,]\p{{Nd}}+)*') then '<1>' when k = 2 then '<2>' when k = 3 then '<3>' else tok.w end as t from tok left join lex using (w)),
+seqs as (select cut, src, id, list(w order by pos) as ws, list(t order by pos) as ts, count(*) as n from typed group by all),
+iwin as (select distinct cut, item_id, k, array_to_string(ts[i:i + k - 1], ' ') as tpl, array_to_string(ws[i:i + k - 1], ' ') as iw from (select cut, id as item_id, least(12, n) as k, ts, ws, unnest(range(1, n - least(12, n) + 2)) as i from seqs where src = 'i')),
+dwin as (select distinct cut, doc_id, k, tpl, array_to_string(ws[i:i + k - 1], ' ') as dw from (
+  select *, array_to_string(ts[i:i + k - 1], ' ') as tpl from (select s.cut, id as doc_id, k, ts, ws, unnest(range(1, n - k + 2)) as i from seqs s join (select distinct cut, k from iwin) l on l.cut = s.cut where src = 'd' and n >= k))
+  where (cut, k, tpl) in (select (cut, k, tpl) from iwin)),
+met as (select cut, doc_id, item_id, iw, dw from dwin join iwin using (cut, k, tpl)),
+slots as (select distinct cut, doc_id, item_id, ltrim(p.a, '^') as a, ltrim(p.b, '^') as b from (select cut, doc_id, item_id, unnest(list_transform(list_zip(string_split(iw, ' '), string_split(dw, ' ')), lambda z: struct_pack(a := z[1], b := z[2]))) as p from met)
+  left join lex on lex.w = p.a where lex.w is not null or starts_with(p.a, '^') or regexp_full_match(p.a, '[0-9]+([.,][0-9]+)*')),
+torn as (select cut, doc_id, item_id from slots group by all having count(*) <> count(distinct a) or count(*) <> count(distinct b)),
+good as (select distinct doc_id, item_id, replace(iw, '^', '') as iw, replace(dw, '^', '') as dw from met left join (select *, true as t from torn) torn using (cut, doc_id, item_id)
+  where case when cut = 'w' then iw = dw or t is null else iw <> dw and t is null end)
+"""
+
 # every window of 300 characters; those that another document has too, merged where they overlap
 _STRETCHES = """
 lt as (select distinct doc_id, text from documents where length(text) >= 300 and doc_id is not null),
@@ -278,6 +306,7 @@ ORACLES = {
     # the pivotal method hits every quota exactly
     "p6_report": f"with {_QUOTAS} select f as field_name, target_id, k as key, share, least as min_rows, supply, quota, quota as drawn, met, gap from planned where f in ('disease_name', 'category')",
     "p7_found": f"with {_LEAKS} select distinct doc_id, item_id from ig join dg using (n, g)",
+    "p7_kinds": f"with {_KINDS} select doc_id, item_id, count(*) filter (where iw = dw) as same_windows, count(*) filter (where iw <> dw) as changed_windows from good group by doc_id, item_id",
     # characters stand in for tokens: the comparison is far from equal for every source
     "p8_found": """
       with s as (select lower(trim(source)) as source, sum(length(coalesce(text, ''))) as n from documents group by 1)
