@@ -671,13 +671,25 @@ def jn09_fallback_lookup(spark, d):
     return predictions.fallback_lookup(table(spark, d, "raw_pairs").select(F.col("disease_name").alias("class_name")), e)
 
 
-@query()
+@query(f"""with recursive {_IMG}, o as (select crop, image_id, fp, row_number() over (partition by crop order by file_size desc nulls last, image_id) as i, count(*) over (partition by crop) as n from img where crop <> ''),
+ g(crop, i, ids, fps) as (select distinct crop, 0::bigint, []::bigint[], []::ubigint[] from o union all
+  select crop, i + 1, case when ok then list_append(ids, image_id) else ids end, case when ok and fp is not null then list_append(fps, fp) else fps end from
+   (select g.*, o.image_id, o.fp, len(ids) < 40 and (o.fp is null or len(list_filter(fps, lambda x: bit_count(xor(x, o.fp)) < 12)) = 0) as ok from g join o on o.crop = g.crop and o.i = g.i + 1)),
+ fin as (select crop, arg_max(ids, i) as ids from g group by crop), k as (select crop, unnest(ids) as image_id, generate_subscripts(ids, 1) as place from fin),
+ sp as (select o.crop, o.image_id, len(ids) + row_number() over (partition by o.crop order by i) as place from o join fin using (crop) where n > 40 and not list_contains(ids, o.image_id))
+ select crop, image_id, i::integer as place, false as filled from o where n <= 40 union all select k.crop, k.image_id, place::integer, false from k join o on o.image_id = k.image_id where n > 40
+ union all select crop, image_id, place::integer, true from sp where place <= 40""")
 def jn11_greedy_distinct(spark, d):
     i = images(spark, d).where("crop <> ''").select("crop", "image_id", "fp", F.col("file_size").cast("double").alias("quality"))
     return sel.greedy_distinct(i, "crop", "image_id", "fp", "quality", 40)
 
 
-@query()
+@query(f"""with recursive {_IMG}, o as (select crop, image_id, coalesce(fp, 0::ubigint) as fp, coalesce(file_size / 1e7, 0.0) as q, row_number() over (partition by crop order by file_size desc nulls last, image_id) as i, count(*) over (partition by crop) as n from img where crop <> ''),
+ g(crop, place, at_i, is_, fps) as (select crop, 1, i, [i], [fp] from o where i = 1 and n > 20 union all
+  select crop, place + 1, nxt, list_append(is_, nxt), list_append(fps, (select fp from o where o.crop = z.crop and o.i = z.nxt)) from (
+   select g.crop, g.place, any_value(is_) as is_, any_value(fps) as fps, arg_min(o.i, row(-(list_min(list_transform(fps, lambda x: bit_count(xor(x, o.fp)))) + 16.0 * o.q), o.i)) as nxt
+   from g join o on o.crop = g.crop where g.place < 20 and not list_contains(is_, o.i) group by g.crop, g.place) z)
+ select g.crop, image_id, place from g join o on o.crop = g.crop and o.i = at_i union all select crop, image_id, i::integer from o where n <= 20""")
 def top09_farthest_point(spark, d):
     i = images(spark, d).where("crop <> ''").select("crop", "image_id", "fp", (F.col("file_size") / 1e7).alias("quality"))
     return sel.farthest_point(i, "crop", "image_id", "fp", "quality", 20)
