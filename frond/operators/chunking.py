@@ -94,18 +94,24 @@ def merge_runs(chunks: DataFrame, fan: int = 1024) -> DataFrame:
 def per_key_summary(df: DataFrame, key: Column, order: list[str], value: Column, flag: Column, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """For each key: rows, value of its first and last row by ``order``, longest run of flagged rows.
 
-    Null values count as values; a null flag is no flag. Empty input gives no rows.
+    Null values count as values; a null flag is no flag. Empty input gives no rows. The rows are
+    written once and go through the numbering without their value: states hold the order of a first
+    and last row, by which the values are fetched at the end, two rows for each key. Of rows that
+    ``order`` does not tell apart the least value counts, null before others.
     """
-    keep = [value.alias("_value"), F.coalesce(flag, F.lit(False)).alias("_flag")]
-    rows = number_rows(df, key, order, keep, chunk_rows)
+    scratch = Scratch(df.sparkSession)
+    names = [f"_o{i}" for i in range(len(order))]
+    given = [F.col(o).alias(n) for o, n in zip(order, names)]
+    base = scratch.write(df.select(key.alias("_k"), *given, value.alias("_value"), F.coalesce(flag, F.lit(False)).alias("_flag")), "rows")
+    rows = number_rows(base, F.col("_k"), names, [F.col("_flag")], chunk_rows, scratch)
     inside = W.partitionBy("_key", "_chunk").orderBy("_row")
     off = F.when(~F.col("_flag"), F.col("_row"))
     start = F.col("_chunk") * chunk_rows
     run = F.col("_row") - F.coalesce(F.max(off).over(inside.rowsBetween(W.unboundedPreceding, 0)), start)
     states = rows.withColumn("_run", run).groupBy("_key", "_chunk").agg(
         F.count(F.lit(1)).alias("n"),
-        F.min_by("_value", "_row").alias("first"),
-        F.max_by("_value", "_row").alias("last"),
+        F.min_by(F.struct(*names), "_row").alias("first"),
+        F.max_by(F.struct(*names), "_row").alias("last"),
         F.max("_run").alias("best"),
         F.min(off).alias("_off_first"),
         F.max(off).alias("_off_last"),
@@ -113,7 +119,14 @@ def per_key_summary(df: DataFrame, key: Column, order: list[str], value: Column,
     end = start + F.col("n")
     states = states.withColumn("head", F.coalesce(F.col("_off_first") - 1 - start, F.col("n")))
     states = states.withColumn("tail", F.coalesce(end - F.col("_off_last"), F.col("n")))
-    return merge_runs(states)
+    merged = scratch.write(merge_runs(states), "merged")
+    ends = merged.select("key", F.explode(F.array(F.struct(F.lit(0).alias("end"), F.col("first_value").alias("o")), F.struct(F.lit(1).alias("end"), F.col("last_value").alias("o")))).alias("e"))
+    ends = ends.select("key", F.col("e.end").alias("_end"), *[F.col(f"e.o.{n}").alias(f"_e{n}") for n in names])
+    same = F.col("_k") == F.col("key")
+    for n in names:
+        same = same & F.col(n).eqNullSafe(F.col(f"_e{n}"))
+    found = base.join(ends, same).groupBy("key").agg(*[F.min(F.when(F.col("_end") == e, F.struct("_value"))).alias(n) for e, n in ((0, "_first"), (1, "_last"))])
+    return merged.drop("first_value", "last_value").join(found, "key").select("key", "n_rows", F.col("_first._value").alias("first_value"), F.col("_last._value").alias("last_value"), "longest_run")
 
 
 def key_counts(df: DataFrame, key: Column, order: list[str], chunk_rows: int = CHUNK_ROWS) -> DataFrame:
