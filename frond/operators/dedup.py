@@ -110,6 +110,8 @@ def hamming_pairs(fps: DataFrame, max_bits: int, hot_rows: int = HOT_ROWS) -> Da
     two blocks is a complete candidate test, of about 2 * 64 / (max_bits + 2) bits. A pair that
     several block pairs find is kept by the first. ``fps`` holds one column ``fp`` of distinct values.
     Parts that very many fingerprints share, as those of near-blank pictures, are dealt over tasks.
+    Each side has a row for every band and fingerprint, which the planner's size of an exploded table
+    leaves out; the merge hint keeps it from sending a side to the driver for a broadcast.
     """
     blocks = min(64, max_bits + 2)
     edges = [round(i * 64 / blocks) for i in range(blocks + 1)]
@@ -119,7 +121,7 @@ def hamming_pairs(fps: DataFrame, max_bits: int, hot_rows: int = HOT_ROWS) -> Da
     cut = lambda n: fps.where("fp is not null").select(F.col("fp").alias(n), F.posexplode(lits).alias("band", "mask")).select(n, "band", F.xxhash64("band", F.col(n).bitwiseAND(F.col("mask"))).alias("part"))
     hot = hot_keys(cut("a").groupBy("part").agg(F.count(F.lit(1)).alias("n")), "part", "n", hot_rows) if fps.limit(hot_rows + 1).count() > hot_rows else []
     x = F.col("a").bitwiseXOR(F.col("b"))
-    near = pair_join(cut("a"), cut("b").drop("band"), "part", F.col("a"), hot).where(F.col("a") < F.col("b")).where(F.bit_count(x) <= max_bits)
+    near = pair_join(cut("a"), cut("b").drop("band").hint("merge"), "part", F.col("a"), hot).where(F.col("a") < F.col("b")).where(F.bit_count(x) <= max_bits)
     first = F.array_position(F.transform(lits, lambda m: x.bitwiseAND(m) == 0), True) - 1
     return near.where(first == F.col("band")).select("a", "b", F.bit_count(x).alias("distance"))
 
@@ -155,7 +157,8 @@ def near_components(df: DataFrame, id_col: str, fp: str, max_bits: int) -> DataF
 
     component is the smallest id among rows joined, directly or through others, by fingerprints
     within ``max_bits`` (equal ones included); links is the number of different fingerprints within
-    reach of the row's own. Copies are one node, so no pair of copies is formed.
+    reach of the row's own. Copies are one node, so no pair of copies is formed. The written classes, a
+    row for each fingerprint, are merged: as Parquet they may look small enough to broadcast.
     """
     scratch = Scratch(df.sparkSession)
     rows = df.where(F.col(fp).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col), F.col(fp).alias("fp"))
@@ -166,7 +169,7 @@ def near_components(df: DataFrame, id_col: str, fp: str, max_bits: int) -> DataF
     named = reps.join(roots, "fp", "left").join(degree, "fp", "left").select("fp", "rep", "_n", F.coalesce("root", "fp").alias("root"), F.coalesce("links", F.lit(0).cast("bigint")).alias("links"))
     least = named.groupBy("root").agg(F.min("rep").alias("component"))
     classes = scratch.write(named.join(least, "root").select("fp", "component", "links", "_n"), "classes")
-    return lookup(rows, classes.drop("_n"), "fp", hot_keys(classes, "fp", "_n")).select(id_col, "component", "links")
+    return lookup(rows, classes.drop("_n").hint("merge"), "fp", hot_keys(classes, "fp", "_n")).select(id_col, "component", "links")
 
 
 def leakage_report(df: DataFrame, id_col: str, digest: str, fp: str, split: str, max_bits: int) -> DataFrame:

@@ -61,6 +61,21 @@ def test_hamming_pairs(spark, k):
     assert got == {(a, b): bits(a, b) for a in sg for b in sg if a < b and bits(a, b) <= k}
 
 
+@pytest.mark.parametrize("hot_rows", [5, 10**6])
+def test_hamming_pairs_broadcast_no_exploded_side(spark, hot_rows):
+    few = Scratch(spark).write(spark.range(50).select(F.col("id").alias("fp")), "few")
+    near = D.hamming_pairs(few, 1, hot_rows)
+    assert near.count() == sum((a ^ b).bit_count() == 1 for a in range(50) for b in range(a))
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_near_components_broadcast_no_class_for_each_fingerprint(spark):
+    rows = Scratch(spark).write(spark.range(50).select("id", (F.col("id") * 1000003).alias("h")), "rows")
+    got = D.near_components(rows, "id", "h", 1)
+    assert got.count() == 50 and "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_leakage_report(spark):
     df = spark.createDataFrame([(1, "train", "a", 0), (2, "test", "a", 99), (3, "val", "b", 1), (4, "train", "c", 3), (5, "val", "d", 1 << 40), (6, None, "a", 0)], "id bigint, split string, d string, fp bigint")
     got = {r.id: (r.kind, r.kept) for r in D.leakage_report(df, "id", "d", "fp", "split", 5).collect()}
