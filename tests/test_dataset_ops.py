@@ -82,6 +82,14 @@ def test_leakage_report(spark):
     assert got == {1: ("exact", True), 2: ("exact", False), 3: ("near", False), 4: ("near", True), 5: ("near", False)} or got == {1: ("exact", True), 2: ("exact", False), 3: ("near", False), 4: ("near", True), 5: ("near", False)}
 
 
+def test_leakage_report_broadcasts_no_exploded_side(spark, monkeypatch):
+    df = Scratch(spark).write(spark.range(60).select("id", F.when(F.col("id") % 2 == 0, "train").otherwise("test").alias("split"), F.col("id").cast("string").alias("d"), F.col("id").alias("fp")), "images")
+    plans, write = {}, Scratch.write
+    monkeypatch.setattr(Scratch, "write", lambda self, df, tag: plans.update({tag: df._jdf.queryExecution().executedPlan().toString()}) or write(self, df, tag))
+    assert D.leakage_report(df, "id", "d", "fp", "split", 1).where("kind = 'near'").count() == 60
+    assert "SortMergeJoin" in plans["pairs"] and "Broadcast" not in plans["pairs"]
+
+
 def test_pairing(spark):
     i = spark.createDataFrame([("a",), ("b",), ("c",), ("a",), (None,)], "k string")
     x = spark.createDataFrame([("a",), ("b",), ("d",), (None,)], "k string")
