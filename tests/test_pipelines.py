@@ -138,3 +138,20 @@ def test_reports_and_empty_tables(spark):
     assert "<h1>A &amp; B</h1>" in page and "<td>&lt;x&gt;</td><td></td>" in page
     many = spark.createDataFrame([(1, "\n".join(["0 .1 .1 .5 .1 .5 .5"] * 3 + ["", "  0 .1 .1 .5 .1 .5 .5 "]))], "file_id bigint, content string")
     assert sorted((r.line_no, r.reason) for r in L.audit_polygons(many).collect()) == [(0, "OK"), (1, "duplicate_line"), (2, "duplicate_line"), (4, "duplicate_line")]
+
+
+def plans_of_pairs(monkeypatch):
+    """The plans of the band joins that are written from here on."""
+    plans, write = [], Scratch.write
+    monkeypatch.setattr(Scratch, "write", lambda self, df, tag: (tag == "pairs" and plans.append(df._jdf.queryExecution().executedPlan().toString())) or write(self, df, tag))
+    return plans
+
+
+def written_images(spark):
+    return Scratch(spark).write(spark.range(1, 61).select(F.col("id").alias("image_id"), F.lit("fig").alias("crop"), F.col("id").cast("string").alias("digest"), F.col("id").alias("fp"), F.lit(0.9).alias("quality"), F.lit(False).alias("corrupted")), "images")
+
+
+def test_curation_broadcasts_no_exploded_side(spark, monkeypatch):
+    i, plans = written_images(spark), plans_of_pairs(monkeypatch)
+    assert {(r.image_id, r.outcome) for r in P.curated(i, 0.5).collect()} == {(1, "kept")} | {(n, "near_duplicate") for n in range(2, 61)}
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
