@@ -155,3 +155,9 @@ def test_curation_broadcasts_no_exploded_side(spark, monkeypatch):
     i, plans = written_images(spark), plans_of_pairs(monkeypatch)
     assert {(r.image_id, r.outcome) for r in P.curated(i, 0.5).collect()} == {(1, "kept")} | {(n, "near_duplicate") for n in range(2, 61)}
     assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
+
+
+def test_selection_broadcasts_no_exploded_side(spark, monkeypatch):
+    i, plans = written_images(spark), plans_of_pairs(monkeypatch)
+    assert [tuple(r) for r in P.curated_selection(i, 0.5, 5).collect()] == [("fig", 1, 1)]
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
