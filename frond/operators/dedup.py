@@ -12,7 +12,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from frond.operators.skew import HOT_ROWS, hot_keys, lookup, pair_join
+from frond.operators.skew import HOT_ROWS, MAX_HOT_KEYS, hot_keys, lookup, merged_if_large, pair_join
 from frond.storage import Scratch
 
 PRIORITY = {"train": 0, "val": 1, "test": 2}
@@ -63,7 +63,7 @@ def first_wins(df: DataFrame, key: str, id_col: str, order: list[Column], hot_ro
     """
     first = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], F.col(id_col).alias("first_id"))).alias("f"), F.count(F.lit(1)).alias("_n"))
     first = Scratch(df.sparkSession).write(first.select(key, F.col("f.first_id").alias("first_id"), "_n").where("_n > 1"), "firsts")
-    got = lookup(df, first.drop("_n"), key, hot_keys(first, key, "_n", hot_rows), "left")
+    got = lookup(df, merged_if_large(first.drop("_n")), key, hot_keys(first, key, "_n", hot_rows), "left")
     return got.withColumn("first_id", F.coalesce("first_id", id_col))
 
 
@@ -79,9 +79,11 @@ def resolve_leakage(df: DataFrame, key: str, id_col: str, split: str = "split",
     Once a key crosses splits its same-split copies go too. Nothing is deleted: losers are a column.
     """
     members = df.where(F.col(key).isNotNull() & F.col(split).isNotNull())
-    got = first_wins(members, key, id_col, [split_rank(F.col(split))], hot_rows)
-    leaks = leaking_keys(members, key, split).select(key)
-    return got.join(leaks, key, "left_semi").select(id_col, split, key, (F.col("first_id") == F.col(id_col)).alias("kept"))
+    first = F.min(F.struct(split_rank(F.col(split)).alias("o"), F.col(id_col).alias("first_id")))
+    per = members.groupBy(key).agg(first.alias("f"), F.count(F.lit(1)).alias("_n"), (F.min(split) != F.max(split)).alias("leaks"))
+    leaks = Scratch(df.sparkSession).write(per.where("leaks").select(key, F.col("f.first_id").alias("first_id"), "_n"), "leaks")
+    got = lookup(members, merged_if_large(leaks.drop("_n")), key, hot_keys(leaks, key, "_n", hot_rows))
+    return got.select(id_col, split, key, (F.col("first_id") == F.col(id_col)).alias("kept"))
 
 
 def pairwise_shared(df: DataFrame, key: str, split: str = "split", splits: tuple[str, ...] = ("train", "val", "test")) -> DataFrame:
@@ -110,20 +112,56 @@ def hamming_pairs(fps: DataFrame, max_bits: int, hot_rows: int = HOT_ROWS) -> Da
     two blocks is a complete candidate test, of about 2 * 64 / (max_bits + 2) bits. A pair that
     several block pairs find is kept by the first. ``fps`` holds one column ``fp`` of distinct values.
     Parts that very many fingerprints share, as those of near-blank pictures, are dealt over tasks.
-    Each side has a row for every band and fingerprint, which the planner's size of an exploded table
-    leaves out; the merge hint keeps it from sending a side to the driver for a broadcast.
+    A side has a row for every band and fingerprint, which the planner's size of an exploded table
+    leaves out; the merge hint keeps it from being sent to the driver for a broadcast. Both sides of
+    the plain join are the same rows, so that they are shuffled once.
     """
     blocks = min(64, max_bits + 2)
     edges = [round(i * 64 / blocks) for i in range(blocks + 1)]
     masks = [((1 << (hi - lo)) - 1) << lo for lo, hi in zip(edges, edges[1:])]
-    twos = [x | y for x, y in combinations(masks, 2)]
-    lits = F.array(*[F.lit(m - (1 << 64) if m >> 63 else m).cast("bigint") for m in twos])
-    cut = lambda n: fps.where("fp is not null").select(F.col("fp").alias(n), F.posexplode(lits).alias("band", "mask")).select(n, "band", F.xxhash64("band", F.col(n).bitwiseAND(F.col("mask"))).alias("part"))
-    hot = hot_keys(cut("a").groupBy("part").agg(F.count(F.lit(1)).alias("n")), "part", "n", hot_rows) if fps.limit(hot_rows + 1).count() > hot_rows else []
+    known = fps.where("fp is not null")
+    lits = F.array(*[_bits(x | y) for x, y in combinations(masks, 2)])
+    cut = lambda n, mask: known.select(F.col("fp").alias(n), F.explode(lits).alias(mask))
+    in_both = lambda n, mask: F.col(n).bitwiseAND(F.col(mask))
+    hot = _hot_parts(known, masks, hot_rows)
+    if hot:
+        part = lambda n: cut(n, "mask").withColumn("part", F.xxhash64("mask", in_both(n, "mask")))
+        near = pair_join(part("a"), part("b").drop("mask").hint("merge"), "part", F.col("a"), hot)
+    else:
+        near = cut("a", "mask").join(cut("b", "mask_b").hint("merge"), (in_both("a", "mask") == in_both("b", "mask_b")) & (F.col("mask") == F.col("mask_b")))
     x = F.col("a").bitwiseXOR(F.col("b"))
-    near = pair_join(cut("a"), cut("b").drop("band").hint("merge"), "part", F.col("a"), hot).where(F.col("a") < F.col("b")).where(F.bit_count(x) <= max_bits)
-    first = F.array_position(F.transform(lits, lambda m: x.bitwiseAND(m) == 0), True) - 1
-    return near.where(first == F.col("band")).select("a", "b", F.bit_count(x).alias("distance"))
+    near = near.where(F.col("a") < F.col("b")).where(F.bit_count(x) <= max_bits)
+    first = F.get(F.filter(lits, lambda m: x.bitwiseAND(m) == 0), F.lit(0))
+    return near.where(first == F.col("mask")).select("a", "b", F.bit_count(x).alias("distance"))
+
+
+def _bits(mask: int) -> Column:
+    return F.lit(mask - (1 << 64) if mask >> 63 else mask).cast("bigint")
+
+
+def _hot_parts(known: DataFrame, masks: list[int], hot_rows: int) -> list:
+    """Hashes of the parts (two blocks) that very many fingerprints share; ``known`` has no nulls.
+
+    Each block of such a part is shared by as many, so blocks are counted first: these have few
+    values. Parts are counted only of fingerprints with two such blocks.
+    """
+    n = known.count()
+    pairs = list(combinations(range(len(masks)), 2))
+    least = max(hot_rows, n * len(pairs) / MAX_HOT_KEYS)
+    if n <= least:
+        return []
+    one = known.select("fp", F.posexplode(F.array(*[_bits(m) for m in masks])).alias("block", "mask"))
+    rows = one.groupBy("block", F.col("fp").bitwiseAND(F.col("mask")).alias("v")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > least)
+    many: dict = {}
+    for r in rows.select("block", "v").collect():  # fewer than blocks x n / least
+        many.setdefault(r.block, []).append(r.v)
+    has = lambda i: F.col("fp").bitwiseAND(_bits(masks[i])).isin(many[i])
+    both = [F.when(has(i) & has(j), _bits(masks[i] | masks[j])) for i, j in pairs if i in many and j in many]
+    if not both:
+        return []
+    parts = known.select("fp", F.explode(F.array(*both)).alias("mask")).where("mask is not null")
+    counts = parts.groupBy(F.xxhash64("mask", F.col("fp").bitwiseAND(F.col("mask"))).alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    return hot_keys(counts, "part", "n", hot_rows, n * len(pairs))
 
 
 def min_label(edges: DataFrame, scratch: Scratch, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -152,8 +190,8 @@ def min_label(edges: DataFrame, scratch: Scratch, hot_rows: int = HOT_ROWS) -> D
             return labels.select("node", "root")
 
 
-def near_components(df: DataFrame, id_col: str, fp: str, max_bits: int) -> DataFrame:
-    """GRF-01: (id, component, links) for every row with a fingerprint.
+def near_components(df: DataFrame, id_col: str, fp: str, max_bits: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """GRF-01: (id, component, links) for every row with a fingerprint, with the columns ``keep``.
 
     component is the smallest id among rows joined, directly or through others, by fingerprints
     within ``max_bits`` (equal ones included); links is the number of different fingerprints within
@@ -161,7 +199,7 @@ def near_components(df: DataFrame, id_col: str, fp: str, max_bits: int) -> DataF
     row for each fingerprint, are merged: as Parquet they may look small enough to broadcast.
     """
     scratch = Scratch(df.sparkSession)
-    rows = df.where(F.col(fp).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col), F.col(fp).alias("fp"))
+    rows = df.where(F.col(fp).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col), F.col(fp).alias("fp"), *keep)
     reps = scratch.write(rows.groupBy("fp").agg(F.min(id_col).alias("rep"), F.count(F.lit(1)).alias("_n")), "reps")
     pairs = scratch.write(hamming_pairs(reps.select("fp"), max_bits).select("a", "b"), "pairs")
     roots = min_label(pairs, scratch).select(F.col("node").alias("fp"), "root")
@@ -169,7 +207,7 @@ def near_components(df: DataFrame, id_col: str, fp: str, max_bits: int) -> DataF
     named = reps.join(roots, "fp", "left").join(degree, "fp", "left").select("fp", "rep", "_n", F.coalesce("root", "fp").alias("root"), F.coalesce("links", F.lit(0).cast("bigint")).alias("links"))
     least = named.groupBy("root").agg(F.min("rep").alias("component"))
     classes = scratch.write(named.join(least, "root").select("fp", "component", "links", "_n"), "classes")
-    return lookup(rows, classes.drop("_n").hint("merge"), "fp", hot_keys(classes, "fp", "_n")).select(id_col, "component", "links")
+    return lookup(rows, classes.drop("_n").hint("merge"), "fp", hot_keys(classes, "fp", "_n")).select(id_col, "component", "links", *keep)
 
 
 def leakage_report(df: DataFrame, id_col: str, digest: str, fp: str, split: str, max_bits: int) -> DataFrame:
@@ -178,9 +216,10 @@ def leakage_report(df: DataFrame, id_col: str, digest: str, fp: str, split: str,
     A near group counts only for images that no exact leak has named already. The first by split
     and id stays. Images without split take no part.
     """
-    ok = df.where(F.col(split).isNotNull())
-    exact = resolve_leakage(ok, digest, id_col, split).select(id_col, split, F.lit("exact").alias("kind"), "kept")
-    rest = ok.join(exact.select(id_col), id_col, "left_anti")
-    comp = near_components(rest, id_col, fp, max_bits).select(id_col, "component")
-    near = resolve_leakage(rest.join(comp, id_col).select(id_col, split, "component"), "component", id_col, split)
-    return exact.unionByName(near.select(id_col, split, F.lit("near").alias("kind"), "kept"))
+    scratch = Scratch(df.sparkSession)
+    ok = scratch.write(df.where(F.col(split).isNotNull()).select(id_col, digest, fp, split), "split")
+    exact = scratch.write(resolve_leakage(ok, digest, id_col, split).select(id_col, split, "kept"), "exact")
+    rest = scratch.write(ok.join(exact.select(id_col), id_col, "left_anti").select(id_col, fp, split), "rest")
+    members = scratch.write(near_components(rest, id_col, fp, max_bits, (split,)).select(id_col, split, "component"), "members")
+    near = resolve_leakage(members, "component", id_col, split)
+    return exact.select(id_col, split, F.lit("exact").alias("kind"), "kept").unionByName(near.select(id_col, split, F.lit("near").alias("kind"), "kept"))

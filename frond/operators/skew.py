@@ -8,15 +8,19 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = 200_000
 MAX_HOT_KEYS = 1024
+#: Largest written table that the planner may broadcast by its size in files.
+MAX_SENT = 100_000
 
 
-def hot_keys(counts: DataFrame, key: str, n: str, hot_rows: int = HOT_ROWS) -> list:
+def hot_keys(counts: DataFrame, key: str, n: str, hot_rows: int = HOT_ROWS, total: int | None = None) -> list:
     """Keys whose count exceeds both ``hot_rows`` and a 1/1024 of the total.
 
     ``counts`` has one row for each key. Since counts add up to the total, fewer than 1024 keys can
-    qualify, whatever the data; this is the proof of size for the broadcast in ``lookup``.
+    qualify, whatever the data; this is the proof of size for the broadcast in ``lookup``. ``total``
+    is given where ``counts`` leaves out keys that cannot qualify.
     """
-    total = counts.agg(F.sum(n)).first()[0] or 0
+    if total is None:
+        total = counts.agg(F.sum(n)).first()[0] or 0
     least = max(hot_rows, total / MAX_HOT_KEYS)
     return [r[0] for r in counts.where(F.col(n) > least).select(key).limit(MAX_HOT_KEYS).collect()]
 
@@ -47,6 +51,15 @@ def lookup(big: DataFrame, small: DataFrame, key: str, hot: list, how: str = "in
     return out.unionByName(big.where(F.col(key).isNull()).select("*", *new))
 
 
+def merged_if_large(small: DataFrame) -> DataFrame:
+    """A written table with a merge hint where it has more than ``MAX_SENT`` rows.
+
+    Parquet packs repeated and sequential values so well that a table of millions of rows may look
+    small enough to broadcast, which takes many times its size in files of the driver's memory.
+    """
+    return small.hint("merge") if small.count() > MAX_SENT else small
+
+
 def bucketed_rank(df: DataFrame, keys: list[str], order: Column, tie: Column, out: str, buckets: int = 256, size: str | None = None) -> DataFrame:
     """Exact 1-based rank inside ``keys`` by (order, tie), with no group in a single task.
 

@@ -70,6 +70,23 @@ def test_hamming_pairs_broadcast_no_exploded_side(spark, hot_rows):
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
+def test_hamming_pairs_shuffle_their_rows_once(spark):
+    near = D.hamming_pairs(Scratch(spark).write(spark.range(50).select(F.col("id").alias("fp")), "few"), 1)
+    near.collect()
+    assert "ReusedExchange" in near._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("hot_rows", [20, 60, 1000])
+def test_hot_parts(spark, hot_rows):
+    # 100 values share blocks 0 and 1, 50 of them block 2 as well; the other values share none
+    masks = [0xFFFF << s for s in (0, 16, 32, 48)]
+    vals = [0x10001 | (1 << 32 if i < 50 else i << 33) | i << 48 for i in range(100)] + [i * 0x0001_0001_0001_0001 for i in range(200, 300)]
+    known = spark.createDataFrame([(v,) for v in vals], "fp bigint")
+    want = [(m, sum(v & m == 0x1_0001_0001 & m for v in vals)) for m in (masks[0] | masks[1], masks[0] | masks[2], masks[1] | masks[2])]
+    parts = [spark.range(1).select(F.xxhash64(F.lit(m).cast("bigint"), F.lit(0x1_0001_0001 & m).cast("bigint"))).first()[0] for m, n in want if n > hot_rows]
+    assert sorted(D._hot_parts(known, masks, hot_rows)) == sorted(parts) and len(parts) == {20: 3, 60: 1, 1000: 0}[hot_rows]
+
+
 def test_near_components_broadcast_no_class_for_each_fingerprint(spark):
     rows = Scratch(spark).write(spark.range(50).select("id", (F.col("id") * 1000003).alias("h")), "rows")
     got = D.near_components(rows, "id", "h", 1)
@@ -90,6 +107,27 @@ def test_leakage_report_broadcasts_no_exploded_side(spark, monkeypatch):
     assert "SortMergeJoin" in plans["pairs"] and "Broadcast" not in plans["pairs"]
 
 
+def test_leakage_report_reads_its_images_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    df = spark.range(60).select("id", F.when(F.col("id") % 2 == 0, "train").otherwise("test").alias("split"), counted((F.col("id") % 50).cast("string")).alias("d"), F.col("id").alias("fp"))
+    assert D.leakage_report(df, "id", "d", "fp", "split", 1).count() > 0
+    assert seen.value == 60
+
+
+def test_large_firsts_are_not_broadcast(spark, monkeypatch):
+    df = Scratch(spark).write(spark.range(60).select("id", (F.col("id") % 20).alias("k"), F.when(F.col("id") < 30, "train").otherwise("test").alias("split")), "rows")
+    for f, n in ((lambda: D.first_wins(df, "k", "id", []), 60), (lambda: D.resolve_leakage(df, "k", "id"), 60)):
+        for most, sent in ((100, True), (10, False)):
+            monkeypatch.setattr("frond.operators.skew.MAX_SENT", most)
+            assert f().count() == n and ("BroadcastHashJoin" in f()._jdf.queryExecution().executedPlan().toString()) == sent
+
+
 def test_pairing(spark):
     i = spark.createDataFrame([("a",), ("b",), ("c",), ("a",), (None,)], "k string")
     x = spark.createDataFrame([("a",), ("b",), ("d",), (None,)], "k string")
