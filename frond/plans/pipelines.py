@@ -113,9 +113,10 @@ def curated(images: DataFrame, min_quality: float, max_bits: int = 5) -> DataFra
     once = scratch.write(dedup.first_wins(i.where("not bad"), "digest", "image_id", best).withColumn("copy", F.col("first_id") != F.col("image_id")).drop("first_id"), "once")
     left = once.where("not copy")
     # near groups are sought over all crops and cut by crop
-    comp = dedup.near_components(left, "image_id", "fp", max_bits).select("image_id", "component")
-    grouped = left.join(comp, "image_id", "left").withColumn("_k", F.when(F.col("component").isNotNull(), F.concat_ws("|", F.col("component").cast("string"), F.coalesce("crop", F.lit("")))))
-    near = dedup.first_wins(grouped, "_k", "image_id", best)
+    comp = dedup.near_components(left, "image_id", "fp", max_bits, ("crop", "quality"))
+    inside = comp.select("image_id", "quality", F.concat_ws("|", F.col("component").cast("string"), F.coalesce("crop", F.lit(""))).alias("_k"))
+    alone = left.where("fp is null or image_id is null").select("image_id", "quality", F.lit(None).cast("string").alias("_k"))
+    near = dedup.first_wins(scratch.write(inside.unionByName(alone), "grouped"), "_k", "image_id", best)
     low = F.col("quality").isNull() | (F.col("quality") < min_quality)
     out = near.select("image_id", F.when(F.col("first_id") != F.col("image_id"), "near_duplicate").when(low, "low_quality").otherwise("kept").alias("outcome"))
     return out.unionByName(once.where("copy").select("image_id", F.lit("exact_duplicate").alias("outcome"))).unionByName(i.where("bad").select("image_id", F.lit("corrupted").alias("outcome")))

@@ -161,3 +161,10 @@ def test_selection_broadcasts_no_exploded_side(spark, monkeypatch):
     i, plans = written_images(spark), plans_of_pairs(monkeypatch)
     assert [tuple(r) for r in P.curated_selection(i, 0.5, 5).collect()] == [("fig", 1, 1)]
     assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
+
+
+def test_curation_seeks_near_groups_once(spark):
+    rows = [(1, "fig", "a", 7, 0.9, False), (2, None, "b", 7, 0.8, False), (3, None, "c", 6, 0.7, False), (4, "fig", "d", None, 0.9, False), (5, "fig", "e", 7, 0.1, False), (6, "fig", "e", 7, 0.05, None), (7, "fig", "f", None, None, False), (8, "fig", "g", 7, 0.9, True)]
+    got = P.curated(spark.createDataFrame(rows, "image_id bigint, crop string, digest string, fp bigint, quality double, corrupted boolean"), 0.5)
+    assert {r.image_id: r.outcome for r in got.collect()} == {1: "kept", 2: "kept", 3: "near_duplicate", 4: "kept", 5: "near_duplicate", 6: "exact_duplicate", 7: "low_quality", 8: "corrupted"}
+    assert "component" not in got._jdf.queryExecution().analyzed().toString()
