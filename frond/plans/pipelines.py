@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from frond.functions import geometry as G
 from frond.functions import labels as L
 from frond.operators import dedup, pairing, predictions, select, splits, stats
+from frond.operators.skew import merged_if_large
 from frond.sources import readers
 from frond.storage import Scratch
 
@@ -124,9 +125,10 @@ def curated(images: DataFrame, min_quality: float, max_bits: int = 5) -> DataFra
 
 def curated_selection(images: DataFrame, min_quality: float, k: int, max_bits: int = 5) -> DataFrame:
     """PIP-07: (crop, image_id, place): of the images that curation keeps, k of each crop that differ most."""
-    kept = curated(images, min_quality, max_bits).where("outcome = 'kept'").select("image_id")
-    rows = images.join(kept, "image_id", "left_semi").select("crop", "image_id", "fp", "quality")
-    return select.farthest_point(Scratch(images.sparkSession).write(rows, "kept"), "crop", "image_id", "fp", "quality", k)
+    scratch = Scratch(images.sparkSession)
+    kept = scratch.write(curated(images, min_quality, max_bits).where("outcome = 'kept'").select("image_id"), "ids")
+    rows = images.join(merged_if_large(kept), "image_id", "left_semi").select("crop", "image_id", "fp", "quality")
+    return select.farthest_point(scratch.write(rows, "kept"), "crop", "image_id", "fp", "quality", k)
 
 
 def validation(images: DataFrame, labels: DataFrame) -> DataFrame:

@@ -168,3 +168,12 @@ def test_curation_seeks_near_groups_once(spark):
     got = P.curated(spark.createDataFrame(rows, "image_id bigint, crop string, digest string, fp bigint, quality double, corrupted boolean"), 0.5)
     assert {r.image_id: r.outcome for r in got.collect()} == {1: "kept", 2: "kept", 3: "near_duplicate", 4: "kept", 5: "near_duplicate", 6: "exact_duplicate", 7: "low_quality", 8: "corrupted"}
     assert "component" not in got._jdf.queryExecution().analyzed().toString()
+
+
+def test_selection_broadcasts_no_kept_ids(spark, monkeypatch):
+    plans, write = {}, Scratch.write
+    i = written_images(spark).withColumn("fp", F.xxhash64("image_id"))
+    monkeypatch.setattr(Scratch, "write", lambda self, df, tag: plans.update({tag: df._jdf.queryExecution().executedPlan().toString()}) or write(self, df, tag))
+    monkeypatch.setattr("frond.operators.skew.MAX_SENT", 10)
+    assert P.curated_selection(i, 0.5, 100).count() == 60
+    assert "SortMergeJoin" in plans["kept"] and "Broadcast" not in plans["kept"]
